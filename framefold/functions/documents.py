@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framefold.functions.text import col
 
 
+def parse_once(df: DataFrame, body: str, ddl: str, name: str) -> DataFrame:
+    """Replace a JSON text column by its parsed struct ``name``.
+
+    The struct passes through a one-element explode: filters on its fields then
+    stay above it instead of being pushed below with a second parse of the text.
+    """
+    keep = [c for c in df.columns if c != body]
+    return df.select(*keep, F.explode(F.array(F.from_json(body, ddl))).alias(name))
+
+
 def json_or_empty(c) -> Column:
     """Variant of a JSON text; broken or missing text is the empty object."""
     return F.coalesce(F.try_parse_json(col(c)), F.parse_json(F.lit("{}")))

@@ -137,6 +137,5 @@ def analyses(pages: DataFrame, summaries: DataFrame, video: str, page: str) -> D
     The page's label array is used as parsed: nothing is regrouped.
     """
     summary = F.struct("total_labels", "top_labels", "duration", "has_moderation_issues")
-    return pages.select(video, page, "labels", "moderation_labels").join(
-        summaries.select(video, "duration", summary.alias("summary")), video, "inner"
-    )
+    facts = summaries.select(video, "duration", summary.alias("summary"))
+    return pages.select(video, page, "labels", "moderation_labels").join(facts, video, "inner")

@@ -204,7 +204,10 @@ def state_steps(
     resource_col = F.col("res.resource")
     opening = F.when(
         F.col("type") == "MapStateEntered",
-        F.concat(F.lit("Map State: Processing "), fanout_entering("input"), F.lit(" job(s)")),
+        F.when(
+            _is_object("input"),
+            F.concat(F.lit("Map State: Processing "), fanout_entering("input"), F.lit(" job(s)")),
+        ).otherwise("Map State: Processing multiple items"),
     ).otherwise(F.concat(F.lit("State: "), "state_name"))
     ended_well = F.col("term.type") == "TaskSucceeded"
     return opened.join(facts, [ARN, "state_name"], "left").select(
@@ -273,6 +276,11 @@ def success_output() -> Column:
     )
 
 
+def _is_object(text: str) -> Column:
+    shape = F.schema_of_variant(F.try_parse_json(F.coalesce(text, F.lit("{}"))))
+    return F.coalesce(shape.startswith("OBJECT"), F.lit(False))
+
+
 def fanout_entering(input_text: str) -> Column:
     """Number of jobs a map state starts with; 0 when there is no such list."""
     doc = F.try_parse_json(F.coalesce(input_text, F.lit("{}")))

@@ -86,6 +86,7 @@ def finish(
     One failed or unanswered job becomes a reject; the others go on.
     """
     started, no_key = require(join_jobs(assets, jobs), ["job_id", "s3_key"])
+    started = started.select("job_id", "s3_key")
     answered, unanswered = join_responses(started, parse_responses(responses))
     done, failed = gate_succeeded(answered)
     summaries = summarize_pages(done, "s3_key", "page")
@@ -121,7 +122,7 @@ def run_batch(
     responses: Mapping[str, DataFrame],
     index: DataFrame,
     jobs: DataFrame | Callable[[DataFrame], DataFrame],
-    detections: DataFrame,
+    detections: DataFrame | Callable[[DataFrame], DataFrame],
     batch_size: int,
     now: Column,
     requested: str | None = None,
@@ -131,8 +132,8 @@ def run_batch(
     """The whole flow; None when no source is available.
 
     ``store(name, df)`` may write a stage's table and return it as read back, so
-    that several outputs do not repeat the stages before it. ``jobs`` may be
-    derived from the assets.
+    that several outputs do not repeat the stages before it. ``jobs`` and
+    ``detections`` may be functions of the assets.
     """
     batch_ts = F.date_format(now, BATCH_TS_FORMAT)
     assets = ingest(responses, index, batch_size, batch_ts, requested, available)
@@ -141,4 +142,5 @@ def run_batch(
     if store is not None:
         assets = store("assets", assets)
     started = jobs(assets) if callable(jobs) else jobs
-    return finish(assets, started, detections, now)
+    answers = detections(assets) if callable(detections) else detections
+    return finish(assets, started, answers, now)

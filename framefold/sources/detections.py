@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framefold import schemas
 from framefold.constants import UNKNOWN_ERROR
+from framefold.functions.documents import parse_once
 from framefold.functions.times import ms_to_sec
 
 
@@ -21,7 +22,7 @@ def parse_responses(raw: DataFrame, body: str = "body") -> DataFrame:
     keep = [c for c in raw.columns if c != body]
     r = F.col("_r")
     none = F.array().cast("array<variant>")
-    return raw.withColumn("_r", F.from_json(body, schemas.DETECTION_BODY)).select(
+    return parse_once(raw, body, schemas.DETECTION_BODY, "_r").select(
         *keep,
         r["JobStatus"].alias("status"),
         r["StatusMessage"].alias("message"),

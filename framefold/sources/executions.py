@@ -12,6 +12,7 @@ from framefold.constants import (
     STEP_PREFIXES,
     UNKNOWN_ERROR,
 )
+from framefold.functions.documents import parse_once
 from framefold.functions.text import col
 from framefold.functions.times import display_ts, event_time
 
@@ -69,7 +70,8 @@ def scan_history(raw: DataFrame, body: str = "body") -> DataFrame:
 
     Columns: execution_arn, id (0 when missing), type, ts, name, input, seconds,
     resource, output, error, cause, index. The order of events is carried by
-    ``id``. Each document is parsed once.
+    ``id``. Timelines read the result several times: land it as a table first
+    (``land_history``), so that the documents are parsed once.
     """
     e = F.col("_e")
 
@@ -90,7 +92,7 @@ def scan_history(raw: DataFrame, body: str = "body") -> DataFrame:
         "ExecutionFailed": "executionFailed",
         "MapIterationFailed": "mapIterationFailed",
     }
-    return raw.withColumn("_e", F.from_json(body, schemas.HISTORY_EVENT)).select(
+    return parse_once(raw, body, schemas.HISTORY_EVENT, "_e").select(
         "execution_arn",
         F.coalesce(e["id"], F.lit(0).cast("bigint")).alias("id"),
         F.coalesce(e["type"], F.lit("")).alias("type"),
@@ -127,6 +129,12 @@ def scan_history(raw: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def land_history(history: DataFrame, path: str) -> DataFrame:
+    """Write flat history events and read them back."""
+    history.write.mode("overwrite").parquet(path)
+    return history.sparkSession.read.schema(history.schema).parquet(path)
+
+
 def any_time(text) -> Column:
     """Time of an event stamp: an epoch number in s or ms, else a timestamp text, else NULL."""
     text = col(text)
