@@ -18,11 +18,9 @@ from framefold.functions.text import (
 
 
 def file_name(source, source_id, title) -> Column:
-    source, source_id = col(source), col(source_id)
-    return F.when(
-        F.coalesce(source_id, F.lit("")) != "",
-        build(source, source_id, safe_title(title), sep="_"),
-    ).otherwise(build(source, safe_title(title), sep="_"))
+    source_id = F.coalesce(col(source_id), F.lit(""))
+    middle = F.when(source_id != "", F.concat(source_id, F.lit("_"))).otherwise("")
+    return F.concat(col(source), F.lit("_"), middle, safe_title(title))
 
 
 def raw_key(source, source_id, title, campaign, batch_ts, mime, url, media_type="video") -> Column:

@@ -66,11 +66,15 @@ def first_visit(history: DataFrame) -> DataFrame:
     )
 
 
-def attribute_events(history: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
+def attribute_events(
+    history: DataFrame, segment_size: int = SEGMENT_SIZE, targets: DataFrame | None = None
+) -> DataFrame:
     """Add ``state_name``: the state entered most recently, NULL after its exit.
 
     A running "last marker" per segment, started from the last marker of the
-    earlier segments of the execution.
+    earlier segments of the execution. With ``targets`` a map result belongs to
+    its execution's map step instead, if that was entered before. All of it costs
+    one shuffle of the events; what is joined to them is one row per segment.
     """
     marker = F.when(_is(*ENTERED), F.struct(_state().alias("state"))).when(
         _is("TaskStateExited"), F.struct(F.lit(None).cast("string").alias("state"))
@@ -97,11 +101,16 @@ def attribute_events(history: DataFrame, segment_size: int = SEGMENT_SIZE) -> Da
         .agg(F.max_by("_marker", marked_at).alias("_tail"))
         .select(ARN, "segment", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
     )
+    state = F.coalesce("_local", "_carry")["state"]
+    if targets is not None:
+        carried = carried.join(targets, ARN, "left")
+        mine = F.when(F.col("id") > F.col("_since"), F.col("_target"))
+        state = F.when(_is("MapStateSucceeded"), mine).otherwise(state)
     running = events.withColumn("_local", F.last("_marker", ignorenulls=True).over(within))
     return (
         running.join(carried, [ARN, "segment"], "left")
-        .withColumn("state_name", F.coalesce("_local", "_carry")["state"])
-        .drop("_marker", "_local", "_carry")
+        .withColumn("state_name", state)
+        .drop("_marker", "_local", "_carry", "_target", "_since")
     )
 
 
@@ -128,20 +137,14 @@ def state_steps(
     first terminal event; error and cause from that event.
     """
     visits = first_visit(history) if visits is None else visits
-    map_done = (
-        history.where(_is("MapStateSucceeded"))
-        .join(map_targets(visits, map_state, names), ARN)
-        .where(F.col("id") > F.col("_since"))
-        .select(
-            ARN,
-            F.floor(F.col("id") / F.lit(segment_size)).cast("bigint").alias("segment"),
-            F.col("_target").alias("state_name"),
-            *_fact_columns(),
-        )
-    )
+    relevant = _is(*UNNAMED, "MapStateSucceeded")
     attributed = (
-        attribute_events(history.where(_is(*UNNAMED, *ENTERED, "TaskStateExited")), segment_size)
-        .where(_is(*UNNAMED) & F.col("state_name").isNotNull())
+        attribute_events(
+            history.where(relevant | _is(*ENTERED, "TaskStateExited")),
+            segment_size,
+            map_targets(visits, map_state, names),
+        )
+        .where(relevant & F.col("state_name").isNotNull())
         .select(ARN, "segment", "state_name", *_fact_columns())
     )
     lambda_name = F.when(
@@ -158,8 +161,7 @@ def state_steps(
         F.struct("id", "resource"),
     )
     per_segment = (
-        attributed.unionByName(map_done)
-        .withColumn("_lambda", lambda_name)
+        attributed.withColumn("_lambda", lambda_name)
         .withColumn("_stop", F.min(stops).over(in_segment))
         .groupBy(ARN, "segment", "state_name")
         .agg(

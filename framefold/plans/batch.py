@@ -80,21 +80,31 @@ def finish(
     responses: DataFrame,
     now: Column,
     media_type: str = "video",
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> BatchResult:
     """Assets with their jobs and detection responses to analyses, index rows and rejects.
 
-    One failed or unanswered job becomes a reject; the others go on.
+    ``jobs`` has one row per job_id, ``responses`` one per job_id and page. One
+    failed or unanswered job becomes a reject; the others go on.
     """
-    started, no_key = require(join_jobs(assets, jobs), ["job_id", "s3_key"])
+    # Repeats inside a batch share their storage key: one stored object, one index row.
+    stored = assets.select(
+        "s3_key", "campaign", "source", "source_id", "ingested_at"
+    ).dropDuplicates(["s3_key"])
+    started, no_key = require(join_jobs(stored.select("s3_key"), jobs), ["job_id", "s3_key"])
     started = started.select("job_id", "s3_key")
-    answered, unanswered = join_responses(started, parse_responses(responses))
+    pages = parse_responses(responses)
+    if store is not None:
+        started, pages = store("jobs", started), store("pages", pages)
+    answered, unanswered = join_responses(started, pages)
     done, failed = gate_succeeded(answered)
-    summaries = summarize_pages(done, "s3_key", "page")
-    documents = analyses(done, summaries, "s3_key", "page").withColumnRenamed(
-        "s3_key", "video_s3_key"
+    summaries = summarize_pages(done, "job_id", "page")
+    documents = (
+        analyses(done, summaries, "job_id", "page")
+        .join(started, "job_id")
+        .withColumnRenamed("s3_key", "video_s3_key")
     )
-    keyed = assets.select("s3_key", "campaign", "source", "source_id", "ingested_at")
-    indexed = keyed.join(summaries, "s3_key").select(
+    indexed = stored.join(started.join(summaries, "job_id"), "s3_key").select(
         record_id(F.lit(media_type), "campaign", "ingested_at").alias("id"),
         F.lit(media_type).alias("media_type"),
         "campaign",
@@ -143,4 +153,4 @@ def run_batch(
         assets = store("assets", assets)
     started = jobs(assets) if callable(jobs) else jobs
     answers = detections(assets) if callable(detections) else detections
-    return finish(assets, started, answers, now)
+    return finish(assets, started, answers, now, store=store)

@@ -19,7 +19,7 @@ from framefold.plans.registry import query
 from framefold.session import scratch_dir
 from framefold.sources import executions as E
 from framefold.sources import index_table as I
-from framefold.sources.detections import gate_succeeded, parse_responses
+from framefold.sources.detections import gate_succeeded, land_pages, parse_responses
 from framefold.sources.objects import list_keys, scan_objects, source_flags
 from framefold.sources.sinks import notifications, write_analysis, write_assets
 
@@ -272,8 +272,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Analysis documents written as JSON lines and read back."""
-    path = scratch_dir(spark, "analysis")
-    ok, _ = gate_succeeded(parse_responses(V.response_pages(spark, sf)))
+    root = scratch_dir(spark, "analysis")
+    path = f"{root}/documents"
+    pages = land_pages(parse_responses(V.response_pages(spark, sf)), f"{root}/pages")
+    ok, _ = gate_succeeded(pages)
     write_analysis(analyses(ok, summarize_pages(ok, "job_id", "page"), "job_id", "page"), path)
     back = spark.read.schema(
         "job_id bigint, labels array<struct<name:string>>, duration double, "
@@ -434,7 +436,7 @@ BATCH = 200
                                    WHEN contains(mime, 'webm') OR contains(url, 'webm') THEN 'webm'
                                    ELSE 'mp4' END AS s3_key
                   FROM fresh)
-        SELECT 'video#' || campaign || '#20240501100000' AS id, campaign, source, source_id, s3_key,
+        SELECT DISTINCT 'video#' || campaign || '#20240501100000' AS id, campaign, source, source_id, s3_key,
                replace(replace(replace(s3_key, 'media-raw', 'media-processed'), '.mp4', '_labels.json'),
                        '.webm', '_labels.json') AS processed_key,
                2 AS total_labels, campaign AS top_name, '2024-05-01T10:00:00+00:00' AS processed_at,
@@ -450,7 +452,7 @@ def _(spark, sf):
         return spark.read.parquet(f"{root}/{name}")
 
     def jobs(assets):
-        return assets.select(
+        return assets.select("s3_key").distinct().select(
             F.sha2("s3_key", 256).alias("job_id"),
             F.lit("IN_PROGRESS").alias("status"),
             F.col("s3_key").alias("video_s3_key"),
@@ -475,7 +477,7 @@ def _(spark, sf):
             F.when(failed, "FAILED").otherwise("SUCCEEDED").alias("JobStatus"),
             F.array(label(F.lit("low"), 10.0), label(F.col("campaign"), 90.0)).alias("Labels"),
         )
-        return assets.select(
+        return assets.select("s3_key", "source", "source_id", "campaign").distinct().select(
             F.sha2("s3_key", 256).alias("job_id"),
             F.lit(0).cast("bigint").alias("page"),
             F.to_json(body).alias("body"),

@@ -15,8 +15,9 @@ from framefold.operators.sets import union_sources
 from framefold.plans import views as V
 from framefold.plans.batch import to_assets
 from framefold.plans.registry import query
+from framefold.session import scratch_dir
 from framefold.sources import catalogues as C
-from framefold.sources.detections import gate_succeeded, parse_responses, scan_detections
+from framefold.sources.detections import gate_succeeded, land_pages, parse_responses, scan_detections
 from framefold.sources.objects import with_file_size
 
 BATCH_TS = "20240101_120000"
@@ -220,15 +221,20 @@ def _flat_summary(summary):
     )
 
 
+def _landed(spark, sf):
+    """Raw response pages parsed once into a table."""
+    return land_pages(parse_responses(V.response_pages(spark, sf)), scratch_dir(spark, "pages"))
+
+
 @query("video_summary", _SUMMARY_SQL)
 def _(spark, sf):
-    ok, _ = gate_succeeded(parse_responses(V.response_pages(spark, sf)))
+    ok, _ = gate_succeeded(_landed(spark, sf))
     return _flat_summary(D.summarize_pages(ok, "job_id", "page"))
 
 
 @query("video_summary_long", _SUMMARY_SQL)
 def _(spark, sf):
-    ok, _ = gate_succeeded(parse_responses(V.response_pages(spark, sf)))
+    ok, _ = gate_succeeded(_landed(spark, sf))
     det = scan_detections(ok, ["job_id", "page"])
     return _flat_summary(D.summarize(det, ok, "job_id", ["page", "pos"]))
 

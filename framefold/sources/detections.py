@@ -32,6 +32,12 @@ def parse_responses(raw: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def land_pages(pages: DataFrame, path: str) -> DataFrame:
+    """Write parsed pages and read them back, so that several outputs share one parse."""
+    pages.write.mode("overwrite").parquet(path)
+    return pages.sparkSession.read.schema(pages.schema).parquet(path)
+
+
 def normalized_label(raw: Column) -> Column:
     """name '' / confidence 0 / timestamp in seconds or NULL / instances [] by default."""
     label = raw["Label"]
