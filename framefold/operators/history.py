@@ -349,22 +349,39 @@ def terminal_rows(history: DataFrame) -> DataFrame:
     )
 
 
-def step_orders(history: DataFrame, visits: DataFrame | None = None) -> DataFrame:
+def step_orders(
+    history: DataFrame, visits: DataFrame | None = None, segment_size: int = SEGMENT_SIZE
+) -> DataFrame:
     """Order number per visited state: the rows (states and execution rows) opened before it.
 
-    Works on one row per state plus the execution rows, not on events.
+    States are few per execution and are numbered directly. Execution rows are
+    counted per segment first: whole segments before the state's come as a
+    running sum, those of its own segment by an equi-join inside it.
     """
     visits = first_visit(history) if visits is None else visits
-    openings = visits.select(ARN, "state_name", "id").unionByName(
-        history.where(_is("ExecutionStarted", "ExecutionSucceeded", "ExecutionFailed")).select(
-            ARN, F.lit(None).cast("string").alias("state_name"), "id"
-        )
-    )
-    number = F.row_number().over(Window.partitionBy(ARN).orderBy("id", "state_name")) - 1
-    return (
-        openings.withColumn("order", number)
+    seg = F.floor(F.col("id") / F.lit(segment_size)).cast("bigint").alias("segment")
+    rank = F.row_number().over(Window.partitionBy(ARN).orderBy("id", "state_name")) - 1
+    opened = visits.select(ARN, "state_name", "id", seg, rank.alias("_rank"))
+    marks = history.where(_is("ExecutionStarted", "ExecutionSucceeded", "ExecutionFailed")).select(
+        ARN, F.col("id").alias("_mark"), seg
+    )
+    earlier = Window.partitionBy(ARN).orderBy("segment").rangeBetween(Window.unboundedPreceding, -1)
+    per_segment = marks.groupBy(ARN, "segment").agg(F.count(F.lit(1)).alias("_n"))
+    whole = (
+        opened.unionByName(per_segment, allowMissingColumns=True)
+        .withColumn("_whole", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .where(F.col("state_name").isNotNull())
-        .select(ARN, "state_name", "order")
+        .drop("_n")
+    )
+    own = (
+        opened.join(marks, [ARN, "segment"])
+        .where(F.col("_mark") < F.col("id"))
+        .groupBy(ARN, "state_name")
+        .agg(F.count(F.lit(1)).alias("_own"))
+    )
+    number = F.col("_rank") + F.col("_whole") + F.coalesce("_own", F.lit(0))
+    return whole.join(own, [ARN, "state_name"], "left").select(
+        ARN, "state_name", number.cast("int").alias("order")
     )
 
 
@@ -389,7 +406,7 @@ def steps(
     state_rows = state_steps(history, visits, map_state, names, segment_size).unionByName(
         wait_rows, allowMissingColumns=True
     )
-    ordered = state_rows.join(step_orders(history, visits), [ARN, "state_name"], "left")
+    ordered = state_rows.join(step_orders(history, visits, segment_size), [ARN, "state_name"], "left")
     return ordered.unionByName(terminal_rows(history), allowMissingColumns=True).withColumn(
         "duration", step_duration("entered_at", "started_at", "completed_at")
     )

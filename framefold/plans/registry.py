@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from framefold.session import apply_settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,8 +19,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def add(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            apply_settings(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = name

@@ -8,6 +8,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even where the rows must be shuffled again after it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """Set the run-time settings the operators rely on in a session made elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
 def build_session(app: str = "framefold", **extra: str) -> SparkSession:
     """A session with the settings the operators rely on.
 
@@ -16,17 +34,8 @@ def build_session(app: str = "framefold", **extra: str) -> SparkSession:
     splits skewed join partitions and turns a join into a broadcast only from
     measured sizes.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
-        .config("spark.sql.parquet.filterPushdown", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    for key, value in extra.items():
+    builder = SparkSession.builder.appName(app)
+    for key, value in {**RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -19,6 +19,7 @@ from framefold.operators.ranking import latest
 from framefold.sources.index_table import append_index
 
 DEDUP_SALTS = 32
+JOIN_SALTS = 8
 
 
 def stream_ingest(spark: SparkSession, folder: str, keep: str, body: str = "body") -> DataFrame:
@@ -128,19 +129,30 @@ def stream_drop_indexed(
     index: DataFrame,
     keys: Sequence[str] = ("media_type", "campaign", "source"),
     once_within: tuple[str, str] | None = None,
+    salts: int = JOIN_SALTS,
 ) -> DataFrame:
-    """Stream without rows already indexed.
+    """Stream without rows already indexed; rows with an empty id pass.
 
     ``once_within`` (time column, delay) also drops repeats inside the stream.
-    Unlike the batch form the rows are taken as they come: a monotonic id is not
-    available in a stream, so empty ids pass by a separate branch.
+    Streams are not re-planned for skew, so rows of one id are spread over
+    ``salts`` groups, each of which meets a copy of the indexed id.
     """
     has_id = F.coalesce(F.col("source_id") != "", F.lit(False))
-    known = index.where(F.col("source_id") != "").select(*keys, "source_id").distinct()
-    fresh = stream.where(has_id).join(known, [*keys, "source_id"], "left_anti")
+    known = (
+        index.where(F.col("source_id") != "")
+        .select(*keys, "source_id")
+        .distinct()
+        .withColumn("_salt", F.explode(F.array(*map(F.lit, range(salts)))))
+    )
+    salted = stream.where(has_id).withColumn(
+        "_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)).cast("int")
+    )
+    fresh = salted.join(known, [*keys, "source_id", "_salt"], "left_anti")
     if once_within is not None:
         ts, delay = once_within
-        fresh = fresh.withWatermark(ts, delay).dropDuplicatesWithinWatermark([*keys, "source_id"])
+        fresh = fresh.withWatermark(ts, delay)
+        fresh = fresh.dropDuplicatesWithinWatermark([*keys, "source_id", "_salt"])
+        fresh = fresh.dropDuplicatesWithinWatermark([*keys, "source_id"])
     return fresh.select(*stream.columns).unionByName(stream.where(~has_id))
 
 
