@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from framefold.functions import documents as DOC
 from framefold.functions import keys as K
 from framefold.functions import text as X
 from framefold.functions import times as T
@@ -404,6 +405,25 @@ def _(spark, sf):
     )
 
 
+@query(
+    "array_functions",
+    """SELECT vec_id, coalesce(list_max(embedding) > 0.25, false) AS has_large,
+          CAST(len(embedding) AS BIGINT) AS n, CAST(list_sort(embedding)[1] AS DOUBLE) AS least,
+          CAST(embedding[3] AS DOUBLE) AS third, CAST(len(embedding[1:3]) AS BIGINT) AS kept
+       FROM embeddings""",
+)
+def _(spark, sf):
+    head = DOC.first_n("embedding", 3)
+    return V.table(spark, sf, "embeddings").select(
+        "vec_id",
+        DOC.any_match("embedding", lambda x: x > 0.25).alias("has_large"),
+        DOC.length("embedding").cast("bigint").alias("n"),
+        F.array_sort("embedding")[0].cast("double").alias("least"),
+        head[2].cast("double").alias("third"),
+        DOC.length(head).cast("bigint").alias("kept"),
+    )
+
+
 @query(
     "with_file_size",
     """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN n_chars ELSE strlen(text) END AS file_size FROM documents""",

@@ -32,6 +32,18 @@ def _status_stream(spark, sf):
     )
 
 
+def _order_polls(orders):
+    """Job status polls: one per order, the customer is the job."""
+    status = (
+        F.when(F.col("o_orderstatus") == "F", "FAILED")
+        .when(F.col("o_orderstatus") == "O", "SUCCEEDED")
+        .otherwise("IN_PROGRESS")
+    )
+    return orders.select(
+        F.col("o_custkey").alias("job_id"), status.alias("status"), F.col("o_orderdate").cast("timestamp").alias("ts")
+    )
+
+
 @query(
     "stream_ingest",
     f"""WITH {V.SQL_CATALOGUE_B} SELECT campaign, response, pos, source_id, title, url, size, duration
@@ -84,20 +96,31 @@ def _(spark, sf):
            AND epoch_ms(TIMESTAMP '2005-01-01') - epoch_ms(min(ts)) > 86400000""",
 )
 def _(spark, sf):
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "FAILED")
-        .when(F.col("o_orderstatus") == "O", "SUCCEEDED")
-        .otherwise("IN_PROGRESS")
-    )
-    polls = V.table(spark, sf, "orders").select(
-        F.col("o_custkey").alias("job_id"), status.alias("status"), F.col("o_orderdate").cast("timestamp").alias("ts")
-    )
+    polls = _order_polls(V.table(spark, sf, "orders"))
     late = S.stalled_jobs(polls, F.lit("2005-01-01").cast("timestamp"), 86400)
     return late.select(
         "job_id", F.unix_millis("first_ts").alias("first_ms"), F.unix_millis("last_ts").alias("last_ms")
     )
 
 
+@query("stalled_jobs_stream")
+def _(spark, sf):
+    """Jobs reported by event-time timers; which batch reports one depends on the files, so no SQL."""
+    root = scratch_dir(spark, "stalled")
+    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, rocks)
+    try:
+        polls = _order_polls(_stream(spark, sf, "orders"))
+        polls = polls.withColumn("job_id", F.col("job_id").cast("string"))
+        late = S.stalled_jobs_stream(polls, 86400, "1 day")
+        S.drain(late, f"{root}/late", f"{root}/checkpoint").awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema("job_id string, first_ts timestamp").parquet(f"{root}/late")
+
+
 @query(
     "stream_drop_indexed",
     f"""WITH {V.SQL_CAND}, {V.SQL_INDEX} SELECT campaign, source, source_id, pos FROM cand c

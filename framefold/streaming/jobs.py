@@ -84,7 +84,7 @@ class _StallTimer(StatefulProcessor):
         self.handle = handle
         self.first = handle.getValueState("first", "first_ms bigint, done boolean")
 
-    def handleInputRows(self, key, rows, timer_values):
+    def handleInputRows(self, key, rows, timerValues):
         first, done = self.first.get() if self.first.exists() else (None, False)
         for frame in rows:
             ms = int(frame["ts"].min().value // 1_000_000)
@@ -98,7 +98,7 @@ class _StallTimer(StatefulProcessor):
         self.first.update((first, done))
         return iter(())
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info):
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         first, _ = self.first.get()
         yield pd.DataFrame({"job_id": [key[0]], "first_ts": [pd.Timestamp(first, unit="ms")]})
 
