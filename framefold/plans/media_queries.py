@@ -275,7 +275,7 @@ _KEY = (
 
 @query("safe_title", f"WITH {V.SQL_CAND} SELECT pos, {_SAFE} AS safe FROM cand")
 def _(spark, sf):
-    return V.candidates(spark, sf).select("pos", X.safe_title("title").alias("safe"))
+    return V.candidates(spark, sf, costly=True).select("pos", X.safe_title("title").alias("safe"))
 
 
 @query("infer_ext", f"WITH {V.SQL_CAND} SELECT pos, {_EXT} AS ext FROM cand")
@@ -286,7 +286,7 @@ def _(spark, sf):
 @query("raw_key", f"WITH {V.SQL_CAND} SELECT pos, {_KEY} AS s3_key FROM cand")
 def _(spark, sf):
     key = K.raw_key("source", "source_id", "title", "campaign", F.lit(BATCH_TS), "mime", "url")
-    return V.candidates(spark, sf).select("pos", key.alias("s3_key"))
+    return V.candidates(spark, sf, costly=True).select("pos", key.alias("s3_key"))
 
 
 @query(
@@ -296,7 +296,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     nothing = F.lit(None).cast("string")
-    cand = V.candidates(spark, sf).withColumns(
+    cand = V.candidates(spark, sf, costly=True).withColumns(
         {"license": nothing, "author": nothing, "description": nothing, "duration": nothing.cast("double")}
     )
     return to_assets(cand, F.lit(BATCH_TS)).select(

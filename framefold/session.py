@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 RUNTIME_SETTINGS = {
@@ -52,3 +52,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="framefold-")
     return f"{base.rstrip('/')}/framefold/{name}-{uuid.uuid4().hex}"
+
+
+def spread_small(df: DataFrame, limit: int = 128 * 1024 * 1024) -> DataFrame:
+    """Deal the rows of a small input out to all cores; larger inputs stay as they are split.
+
+    A file below one split is read by a single task, which then also does all
+    row-wise work (JSON, regular expressions) alone. The shuffle this adds is
+    bounded by ``limit``, the default size of one split.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < limit else df
