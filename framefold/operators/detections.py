@@ -130,7 +130,9 @@ def _by_position(a, b):
     return F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
 
 
-def analyses(pages: DataFrame, summaries: DataFrame, video: str, page: str) -> DataFrame:
+def analyses(
+    pages: DataFrame, summaries: DataFrame, video: str, page: str, keep: Sequence[str] = ()
+) -> DataFrame:
     """Analysis documents: one per video and response page.
 
     A video answered in one page, the usual case, gives exactly one document.
@@ -138,4 +140,4 @@ def analyses(pages: DataFrame, summaries: DataFrame, video: str, page: str) -> D
     """
     summary = F.struct("total_labels", "top_labels", "duration", "has_moderation_issues")
     facts = summaries.select(video, "duration", summary.alias("summary"))
-    return pages.select(video, page, "labels", "moderation_labels").join(facts, video, "inner")
+    return pages.select(video, *keep, page, "labels", "moderation_labels").join(facts, video)

@@ -99,10 +99,8 @@ def finish(
     answered, unanswered = join_responses(started, pages)
     done, failed = gate_succeeded(answered)
     summaries = summarize_pages(done, "job_id", "page")
-    documents = (
-        analyses(done, summaries, "job_id", "page")
-        .join(started, "job_id")
-        .withColumnRenamed("s3_key", "video_s3_key")
+    documents = analyses(done, summaries, "job_id", "page", ["s3_key"]).withColumnRenamed(
+        "s3_key", "video_s3_key"
     )
     indexed = stored.join(started.join(summaries, "job_id"), "s3_key").select(
         record_id(F.lit(media_type), "campaign", "ingested_at").alias("id"),
