@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from framefold.llm import packing, simhash_dedup  # noqa: F401
+from framefold.llm import line_quality, packing, sharding, simhash_dedup  # noqa: F401
 from framefold.llm.common import ORACLES, QUERIES, Query
 
 
