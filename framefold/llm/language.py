@@ -28,6 +28,8 @@ ROUNDS = 15
 #: Documents in one training sequence.
 SEQUENCE = 3
 UNKNOWN = "und"
+#: Share of a document's words that its language must have for the document to stay.
+LEAST_SHARE = 0.5
 
 _DECODERS: dict[str, Decoder] = {}
 
@@ -139,6 +141,30 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def keep_known(docs: DataFrame, model: Model, least: float = LEAST_SHARE) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text has letters and one language for at least ``least`` of its words.
+
+    Null texts and texts without a letter go. If no language could be learned, only those go.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # hashed weights for at most LANGUAGES labels
+    key = uuid.uuid4().hex
+    learned = bool(model.labels)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            if learned:
+                decoder = decoder_of(key, shared)
+                kept = [document_shares(counts, p).max(axis=1) >= least for _, counts, p in decoder.decode(texts)]
+                mask = np.concatenate(kept) if kept else np.zeros(0, dtype=bool)
+            else:
+                mask = np.array([bool(t and WORD.search(t)) for t in texts], dtype=bool)
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def word_spans(text: str, model: Model) -> list[tuple[int, int, str]]:
     """Runs of words of one language, (start, end, lang) in code points."""
     _, _, posterior = next(Decoder(model, features).decode([text]))
