@@ -31,6 +31,9 @@ ROUNDS = 3
 HEAD = 300_000
 #: Distinct words a worker gathers before it hands them on, and whose likelihoods it remembers.
 GATHERED = 300_000
+#: Texts that a worker scores together, and cells (words times bytes) of a table of forward sums.
+TEXTS = 500
+CELLS = 400_000
 #: Added to every expected count, so that no piece is impossible.
 SMOOTHING = 0.01
 WORD_START = "▁".encode()
@@ -43,8 +46,55 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+class Trie:
+    """Pieces by their bytes, walked for many words at once.
+
+    ``piece`` is the piece that ends in a state, or -1. Transitions are in a hash table of state and byte.
+    """
+
+    def __init__(self, names: list[bytes]):
+        states: dict[bytes, int] = {b"": 0}
+        ends = [-1]
+        for i, name in enumerate(names):
+            for end in range(1, len(name) + 1):
+                if name[:end] not in states:
+                    states[name[:end]] = len(ends)
+                    ends.append(-1)
+            ends[states[name]] = i
+        self.piece = np.array(ends, dtype=np.int64)
+        self.bits = max(10, int(len(ends) * 4).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.children = np.full(1 << self.bits, -1, dtype=np.int64)
+        for prefix, state in states.items():
+            if prefix:
+                key = states[prefix[:-1]] * 256 + prefix[-1]
+                at = int(self._slots(np.array([key]))[0])
+                while self.keys[at] >= 0:
+                    at = (at + 1) % len(self.keys)
+                self.keys[at], self.children[at] = key, state
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, states: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Following states, -1 where there is none."""
+        keys = states * 256 + data
+        at = self._slots(keys)
+        found = self.keys[at]
+        out = np.where(found == keys, self.children[at], -1)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.keys)
+            found = self.keys[at[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.children[at[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
 class Pieces:
-    """Pieces by their bytes; all 256 single bytes are among them. ``find`` also knows every prefix of a piece (-1)."""
+    """The pieces of a vocabulary by their bytes; all 256 single bytes are among them."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -60,11 +110,7 @@ class Pieces:
         for b in range(256):
             names.setdefault(bytes([b]), min(names.values()))
         self.names = sorted(names)
-        self.find: dict[bytes, int] = {}
-        for i, name in enumerate(self.names):
-            for end in range(1, len(name)):
-                self.find.setdefault(name[:end], -1)
-            self.find[name] = i
+        self.trie = Trie(self.names)
         self.scores = np.array([names[n] for n in self.names])
 
     def first_weights(self) -> np.ndarray:
@@ -79,88 +125,86 @@ class Pieces:
         return np.log(counts) - math.log(counts.sum() + others)
 
 
-def _log_sum(values: list[float]) -> float:
-    top = max(values)
-    if len(values) == 1:
-        return top
-    return top + math.log(sum([math.exp(v - top) for v in values]))
+Edges = list[tuple[int, int, np.ndarray, np.ndarray]]
 
 
 class Scorer:
-    """Forward and backward recursions over the lattice of a word."""
+    """Forward and backward recursions, in log space, over the lattices of many words of one length at once."""
 
-    def __init__(self, find: dict[bytes, int], logs: np.ndarray, often: dict[bytes, int] | None = None, total: float = 1.0):
-        self.find = find
-        self.logs = logs.tolist()
+    def __init__(self, trie: Trie, logs: np.ndarray, often: dict[bytes, int] | None = None, total: float = 1.0):
+        self.trie = trie
+        self.logs = logs
         self.often = often or {}
         self.total = math.log(total)
         self.known: dict[bytes, float] = {}
 
-    def edges(self, word: bytes) -> list[list[tuple[int, int]]]:
-        """(end, piece) of the pieces that begin at each byte."""
-        find = self.find
-        n = len(word)
-        out = []
+    def groups(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Indices of words of one length, and their bytes after the word mark."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")
+        limits = np.flatnonzero(np.diff(lengths[order])) + 1
+        for same in np.split(order, limits) if len(words) else ():
+            size = max(1, CELLS // (int(lengths[same[0]]) + len(WORD_START) + 1))
+            for at in range(0, len(same), size):
+                part = same[at : at + size]
+                data = b"".join([WORD_START + words[i] for i in part.tolist()])
+                yield part, np.frombuffer(data, np.uint8).reshape(len(part), -1).astype(np.int64)
+
+    def forward(self, data: np.ndarray) -> tuple[Edges, np.ndarray]:
+        """Edges (start, end, words that have one, their pieces) in order of start, and the forward sums."""
+        m, n = data.shape
+        alpha = np.full((n + 1, m), -np.inf)
+        alpha[0] = 0.0
+        edges: Edges = []
         for start in range(n):
-            here = []
+            rows = np.arange(m)
+            state = np.zeros(m, dtype=np.int64)
             for end in range(start + 1, n + 1):
-                piece = find.get(word[start:end])
-                if piece is None:
+                state = self.trie.step(state, data[rows, end - 1])
+                alive = state >= 0
+                rows, state = rows[alive], state[alive]
+                if not len(rows):
                     break
-                if piece >= 0:
-                    here.append((end, piece))
-            out.append(here)
+                piece = self.trie.piece[state]
+                whole = piece >= 0
+                if whole.any():
+                    which, piece = rows[whole], piece[whole]
+                    reached = alpha[start, which] + self.logs[piece]
+                    alpha[end, which] = np.logaddexp(alpha[end, which], reached)
+                    edges.append((start, end, which, piece))
+        return edges, alpha
+
+    def log_likelihoods(self, words: list[bytes]) -> np.ndarray:
+        """Natural logarithms of the sums over all segmentations of each word, its own edge included."""
+        out = np.zeros(len(words))
+        for part, data in self.groups(words):
+            out[part] = self.forward(data)[1][-1]
+        for i, word in enumerate(words):
+            if word in self.often:
+                out[i] = np.logaddexp(out[i], math.log(self.often[word]) - self.total)
         return out
 
-    def log_likelihood(self, word: bytes) -> float:
-        """Natural logarithm of the sum over all segmentations of the word."""
-        marked = WORD_START + word
-        logs = self.logs
-        into: list[list[float]] = [[] for _ in range(len(marked) + 1)]
-        into[0] = [0.0]
-        for start, here in enumerate(self.edges(marked)):
-            if into[start]:
-                a = _log_sum(into[start])
-                for end, piece in here:
-                    into[end].append(a + logs[piece])
-        return _log_sum(into[-1])
-
-    def remembered(self, word: bytes) -> float:
-        value = self.known.get(word)
-        if value is None:
-            if len(self.known) >= GATHERED:
-                self.known.clear()
-            value = self.log_likelihood(word)
-            if word in self.often:
-                value = _log_sum([value, math.log(self.often[word]) - self.total])
-            self.known[word] = value
-        return value
-
-    def expect(self, word: bytes, times: float, counts: np.ndarray) -> None:
-        """Add the expected number of each piece in ``times`` occurrences of the word."""
-        marked = WORD_START + word
-        n = len(marked)
-        logs = self.logs
-        edges = self.edges(marked)
-        into: list[list[float]] = [[] for _ in range(n + 1)]
-        into[0] = [0.0]
-        alpha = [-math.inf] * (n + 1)
-        for start in range(n):
-            if into[start]:
-                a = alpha[start] = _log_sum(into[start])
-                for end, piece in edges[start]:
-                    into[end].append(a + logs[piece])
-        total = _log_sum(into[n])
-        beta = [-math.inf] * n + [0.0]
-        for start in range(n - 1, -1, -1):
-            after = [logs[piece] + beta[end] for end, piece in edges[start]]
-            if after:
-                beta[start] = _log_sum(after)
-            if alpha[start] > -math.inf:
-                for (_, piece), value in zip(edges[start], after):
-                    p = alpha[start] + value - total
-                    if p > -30:
-                        counts[piece] += times * math.exp(p)
+    def remember(self, words: set[bytes]) -> dict[bytes, float]:
+        """The likelihoods of at least these words."""
+        fresh = [w for w in words if w not in self.known]
+        if len(self.known) + len(fresh) > GATHERED:
+            self.known.clear()
+            fresh = list(words)
+        self.known.update(zip(fresh, self.log_likelihoods(fresh).tolist()))
+        return self.known
+
+    def expect(self, words: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
+        """Add the expected number of each piece in ``times`` occurrences of the words."""
+        for part, data in self.groups(words):
+            edges, alpha = self.forward(data)
+            beta = np.full(alpha.shape, -np.inf)
+            beta[-1] = 0.0
+            n_times = times[part]
+            for start, end, which, piece in reversed(edges):
+                value = self.logs[piece] + beta[end, which]
+                beta[start, which] = np.logaddexp(beta[start, which], value)
+                share = np.exp(alpha[start, which] + value - alpha[-1, which])
+                counts += np.bincount(piece, share * n_times[which], len(counts))
 
 
 def _scorer(key: str, shared: Broadcast) -> Scorer:
@@ -204,15 +248,14 @@ def fit(
     logs = pieces.first_weights()
     size = len(pieces.names)
     for _ in range(max(1, rounds)):
-        shared = counts.sparkSession.sparkContext.broadcast((pieces.find, logs))  # bounded by the vocabulary
+        shared = counts.sparkSession.sparkContext.broadcast((pieces.trie, logs))  # bounded by the vocabulary
         key = uuid.uuid4().hex
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
             scorer = _scorer(key, shared)
             sums = np.zeros(size)
             for batch in batches:
-                for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    scorer.expect(word, n, sums)
+                scorer.expect(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float), sums)
             used = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], names=["piece", "n"])
 
@@ -249,7 +292,7 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, head
     table = {bytes(r["word"]): r["n"] for r in often.collect()}  # at most head rows, because counts sum to n_train
     weights, mass = fit(seldom, texts, pieces, sum(table.values()), rounds)
     shared_head = spark.sparkContext.broadcast(table)
-    shared = spark.sparkContext.broadcast((pieces.find, weights, table, mass))
+    shared = spark.sparkContext.broadcast((pieces.trie, weights, table, mass))
     key = uuid.uuid4().hex
     ln10 = math.log(10)
     end = float(weights[-1]) / ln10
@@ -259,17 +302,19 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, head
         known = scorer.often
         for batch in batches:
             rows: list[tuple] = []
-            for text in batch.column(2):
-                words = Counter(tokens(text.as_py()))
-                score, logs, seen, n = 0.0, 0.0, 0, 0
-                for word, times in words.items():
-                    n += times
-                    score += times * scorer.remembered(word)
-                    c = known.get(word)
-                    if c is not None:
-                        seen += times
-                        logs += times * math.log10(c + 1)
-                rows.append((n, seen, logs, score / ln10 + end))
+            for at in range(0, batch.num_rows, TEXTS):
+                texts = [Counter(tokens(t.as_py())) for t in batch.column(2).slice(at, TEXTS)]
+                scores = scorer.remember(set().union(*texts))
+                for words in texts:
+                    score, logs, seen, n = 0.0, 0.0, 0, 0
+                    for word, times in words.items():
+                        n += times
+                        score += times * scores[word]
+                        c = known.get(word)
+                        if c is not None:
+                            seen += times
+                            logs += times * math.log10(c + 1)
+                    rows.append((n, seen, logs, score / ln10 + end))
             columns = list(zip(*rows)) or [()] * 4
             types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
