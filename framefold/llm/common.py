@@ -2,42 +2,19 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framefold.session import apply_settings, scratch_dir
+from framefold.session import apply_settings, scratch_dir, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that Python tasks can import it."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    target = os.path.join(tempfile.mkdtemp(prefix="framefold-code-"), "framefold_code.zip")
-    with zipfile.ZipFile(target, "w") as out:
-        for folder, _, names in os.walk(os.path.join(root, "framefold")):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, root))
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
-
-
 def prepare(spark: SparkSession) -> None:
     """The session settings and the code that the operators rely on."""
     apply_settings(spark)
