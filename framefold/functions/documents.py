@@ -29,10 +29,9 @@ def field_or(variant, path: str, type_name: str, default) -> Column:
     return F.coalesce(got, default if isinstance(default, Column) else F.lit(default))
 
 
-def canonical_json(m) -> Column:
-    """JSON of a map with its keys in order and no blanks."""
-    entries = F.array_sort(F.map_entries(col(m)))
-    return F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
+def canonical_json(value) -> Column:
+    """JSON of a map, struct or array with the keys of all its objects in order and no blanks."""
+    return F.to_json(F.parse_json(F.to_json(col(value), {"ignoreNullFields": "false"})))
 
 
 def is_truthy_json(text) -> Column:

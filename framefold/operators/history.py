@@ -115,9 +115,12 @@ def attribute_events(
 
 
 def map_targets(visits: DataFrame, map_state: str, names: Mapping[str, str]) -> DataFrame:
-    """Per execution the step that map results belong to: the first visited map-named one."""
+    """Per execution the step that map results belong to: the first visited task or map state named so.
+
+    A wait is shown under another name, so a wait state's own name does not count.
+    """
     is_map = (F.col("state_name") == map_state) | has(_display("state_name", names), "Map")
-    return visits.where(is_map).groupBy(ARN).agg(
+    return visits.where(_is(*ENTERED) & is_map).groupBy(ARN).agg(
         F.min_by("state_name", "id").alias("_target"), F.min("id").alias("_since")
     )
 

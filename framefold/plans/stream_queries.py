@@ -11,8 +11,6 @@ from framefold.sources import catalogues as C
 from framefold.sources import index_table as I
 from framefold.streaming import jobs as S
 
-_ALL_TIME = "40 days"  # longer than the events span
-
 
 def _stream(spark, sf, name):
     """The table as a file stream."""
@@ -63,13 +61,16 @@ def _(spark, sf):
 
 @query(
     "terminal_jobs",
-    f"WITH {V.SQL_STATUS} SELECT DISTINCT job_id FROM polls WHERE status IN ('SUCCEEDED', 'FAILED')",
+    f"""WITH {V.SQL_STATUS} SELECT job_id, min(ms) AS first_ms, arg_min(status, struct_pack(a := ms, b := status)) AS status
+        FROM polls WHERE status IN ('SUCCEEDED', 'FAILED') GROUP BY 1""",
 )
 def _(spark, sf):
     root = scratch_dir(spark, "terminal")
-    done = S.terminal_jobs(_status_stream(spark, sf), _ALL_TIME)
-    S.drain(done, f"{root}/done", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema(done.schema).parquet(f"{root}/done").select("job_id")
+    done = S.terminal_jobs(_status_stream(spark, sf))
+    S.publish_view(done, f"{root}/done", f"{root}/checkpoint").awaitTermination()
+    return S.read_view(spark, f"{root}/done", ["job_id"]).select(
+        "job_id", F.unix_millis("ts").alias("first_ms"), "status"
+    )
 
 
 @query(
@@ -103,9 +104,17 @@ def _(spark, sf):
     )
 
 
-@query("stalled_jobs_stream")
+@query(
+    "stalled_jobs_stream",
+    """WITH custom AS (
+          SELECT CAST(o_custkey AS VARCHAR) AS job_id, o_orderstatus IN ('F', 'O') AS done, CAST(o_orderdate AS TIMESTAMP) AS ts
+          FROM orders),
+        seen AS (SELECT job_id, min(ts) AS first_ts, bool_or(done) AS done FROM custom GROUP BY 1)
+        SELECT job_id, epoch_ms(first_ts) AS first_ms FROM seen
+        WHERE NOT done AND first_ts + INTERVAL 1 DAY <= (SELECT max(ts) FROM custom) - INTERVAL 1 DAY""",
+)
 def _(spark, sf):
-    """Jobs reported by event-time timers; which batch reports one depends on the files, so no SQL."""
+    """Jobs reported by event-time timers, each once; the last event time decides which."""
     root = scratch_dir(spark, "stalled")
     rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     setting = "spark.sql.streaming.stateStore.providerClass"
@@ -118,7 +127,8 @@ def _(spark, sf):
         S.drain(late, f"{root}/late", f"{root}/checkpoint").awaitTermination()
     finally:
         spark.conf.set(setting, before)
-    return spark.read.schema("job_id string, first_ts timestamp").parquet(f"{root}/late")
+    late = spark.read.schema("job_id string, first_ts timestamp").parquet(f"{root}/late")
+    return late.select("job_id", F.unix_millis("first_ts").alias("first_ms"))
 
 
 @query(

@@ -11,16 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framefold.constants import MAP_STATE
-from framefold.session import spread_small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Some columns of a table whose rows get costly work: spread out if the file is small."""
-    return spread_small(table(spark, sf_dir, name).select(*columns))
+def columns_of(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, name).select(*columns)
 
 
 def _mod(c: str, n: int) -> Column:
@@ -90,7 +88,7 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("ModerationLabels"),
     )
     page = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    lines = spread_table(
+    lines = columns_of(
         spark,
         sf_dir,
         "lineitem",
@@ -125,11 +123,10 @@ labels_in AS (
 # --- candidates, keys, index ------------------------------------------------
 
 
-def candidates(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate per document: language as campaign, the whole text as title."""
     kind = _mod("doc_id", 5)
     docs = table(spark, sf_dir, "documents")
-    docs = spread_small(docs) if costly else docs
     return docs.select(
         F.lit("video").alias("media_type"),
         F.col("lang").alias("campaign"),
@@ -270,7 +267,7 @@ def raw_catalogue_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         cats(F.lit("Category:CC0")).alias("categories"),
     )
     body = F.struct(F.struct(F.create_map(doc, first, F.lit("alt"), second).alias("pages")).alias("query"))
-    return spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars").select(
+    return columns_of(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars").select(
         F.col("lang").alias("campaign"), F.col("doc_id").alias("response"), F.to_json(body).alias("body")
     )
 
@@ -319,7 +316,7 @@ def raw_catalogue_b(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("duration"),
         videos(("small", rendition("z", n))).alias("videos"),
     )
-    return spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars").select(
+    return columns_of(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars").select(
         F.col("lang").alias("campaign"),
         F.col("doc_id").alias("response"),
         F.to_json(F.struct(F.array(first, second).alias("hits"))).alias("body"),
@@ -356,7 +353,7 @@ def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(key.alias("id"))).alias("metadata"),
         F.struct((F.col("o_custkey") % 5).alias("processed_count")).alias("finalization"),
     )
-    return spread_table(
+    return columns_of(
         spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     ).select(
         F.concat(F.lit("arn:states:execution:media:"), key.cast("string")).alias("arn"),
@@ -398,7 +395,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.floor("value").cast("bigint")
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     ms = F.floor(F.timestamp_diff("MICROSECOND", epoch, F.col("ts")) / 1000).cast("bigint")
-    base = spread_table(
+    base = columns_of(
         spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value"
     ).select(
         F.col("user_id").cast("string").alias("execution_arn"),

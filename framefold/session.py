@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 RUNTIME_SETTINGS = {
@@ -40,26 +44,42 @@ def build_session(app: str = "framefold", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach, for written tables and checkpoints.
 
-    It lies under ``spark.checkpoint.dir``. Without that setting only a local
-    master may fall back to a temporary folder of this machine.
+    It lies under ``spark.checkpoint.dir``, which belongs to the caller. Where that is unset, as in tests
+    on a local master, one folder of this machine serves the application and goes when it ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="framefold-")
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_FOLDERS:
+            _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="framefold-")
+            atexit.register(shutil.rmtree, _OWN_FOLDERS[app], ignore_errors=True)
+        base = _OWN_FOLDERS[app]
     return f"{base.rstrip('/')}/framefold/{name}-{uuid.uuid4().hex}"
 
 
-def spread_small(df: DataFrame, limit: int = 128 * 1024 * 1024) -> DataFrame:
-    """Deal the rows of a small input out to all cores; larger inputs stay as they are split.
-
-    A file below one split is read by a single task, which then also does all
-    row-wise work (JSON, regular expressions) alone. The shuffle this adds is
-    bounded by ``limit``, the default size of one split.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < limit else df
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python tasks can import it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="framefold-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "framefold_code.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for at, _, names in os.walk(os.path.join(root, "framefold")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    out.write(path, os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)

@@ -7,7 +7,7 @@ partition columns; a filter on them prunes folders before the newest-row step.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +43,43 @@ def read_index(
     campaign: str | None = None,
     media_type: str | None = None,
     key: Sequence[str] = KEY,
+    now: Column | int | None = None,
 ) -> DataFrame:
-    """Newest row per key with metadata decoded; the arguments prune partitions."""
-    schema = _schema(spark)
-    stored = filter_index(spark.read.schema(schema).parquet(path), campaign, media_type)
-    return decode_metadata(latest(stored, key, NEWEST))
+    """Newest row per key with metadata decoded; campaign and type prune partitions.
+
+    With ``now`` (epoch seconds) keys whose newest row has expired are left out.
+    """
+    stored = filter_index(_log(spark, path), campaign, media_type)
+    return decode_metadata(_current(stored, key, now))
+
+
+def read_indexed_ids(
+    spark: SparkSession,
+    path: str,
+    campaigns: Collection[str] | None = None,
+    media_type: str | None = None,
+    now: Column | int | None = None,
+) -> DataFrame:
+    """Distinct (media_type, campaign, source, source_id) of the index, for duplicate suppression.
+
+    An id is known by any of its rows, so no newest row is looked for and only these columns are read.
+    With ``now`` an id is known as long as one of its rows has not expired.
+    """
+    stored = filter_index(_log(spark, path), None, media_type)
+    if campaigns is not None:
+        stored = stored.where(F.col("campaign").isin(*campaigns))
+    if now is not None:
+        stored = unexpired(stored, now)
+    return stored.where(F.col("source_id") != "").select("media_type", "campaign", "source", "source_id").distinct()
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_schema(spark)).parquet(path)
+
+
+def _current(stored: DataFrame, key: Sequence[str], now: Column | int | None) -> DataFrame:
+    newest = latest(stored, key, NEWEST)
+    return newest if now is None else unexpired(newest, now)
 
 
 def _schema(spark: SparkSession):
@@ -70,10 +102,11 @@ def upsert_index(
     return latest(existing.unionByName(updates, allowMissingColumns=True), key, newest)
 
 
-def compact_index(spark: SparkSession, path: str, out_path: str, key: Sequence[str] = KEY) -> None:
-    """Rewrite the newest rows to a new folder; readers switch to it when it is complete."""
-    schema = _schema(spark)
-    append_index(latest(spark.read.schema(schema).parquet(path), key, NEWEST), out_path)
+def compact_index(
+    spark: SparkSession, path: str, out_path: str, key: Sequence[str] = KEY, now: Column | int | None = None
+) -> None:
+    """Rewrite the newest rows to a new folder, with ``now`` the unexpired ones only; readers switch when it is complete."""
+    append_index(_current(_log(spark, path), key, now), out_path)
 
 
 def filter_index(
@@ -91,9 +124,12 @@ def query_index(
     campaign: str | None = None,
     media_type: str | None = None,
     limit: int | None = 100,
+    now: Column | int | None = None,
 ) -> DataFrame:
-    """Filter first, then the newest ``limit`` records."""
+    """Filter first, with ``now`` also expired records, then the newest ``limit`` records."""
     found = filter_index(df, campaign, media_type)
+    if now is not None:
+        found = unexpired(found, now)
     if limit is None:
         return found
     return found.orderBy(F.col("processed_at").desc(), "s3_key").limit(limit)

@@ -6,9 +6,11 @@ drains it. State and checkpoints live in the folder the caller names.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -18,7 +20,6 @@ from framefold.constants import TERMINAL_JOB_STATUSES
 from framefold.operators.ranking import latest
 from framefold.sources.index_table import append_index
 
-DEDUP_SALTS = 32
 JOIN_SALTS = 8
 
 
@@ -40,18 +41,16 @@ def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -
     )
 
 
-def terminal_jobs(
-    status: DataFrame, delay: str, job: str = "job_id", ts: str = "ts", salts: int = DEDUP_SALTS
-) -> DataFrame:
-    """The first terminal status of each job, emitted once; duplicates within ``delay`` are dropped.
+def terminal_jobs(status: DataFrame, job: str = "job_id", ts: str = "ts") -> DataFrame:
+    """The first terminal status of each job by time; batch or streaming (update mode, see ``publish_view``).
 
-    Repeats of one job are first dropped within salted groups, so a job that is
-    reported very often does not pass through one task.
+    A minimum per job: repeats collapse before the shuffle, so a job that is reported very often is one
+    row per task, and the state holds one small row per finished job. A job changes again only if an
+    earlier report of its end comes late.
     """
-    done = status.where(F.col("status").isin(*TERMINAL_JOB_STATUSES)).withWatermark(ts, delay)
-    salted = done.withColumn("_salt", F.pmod(F.xxhash64(ts), F.lit(salts)))
-    once = salted.dropDuplicatesWithinWatermark([job, "_salt"]).drop("_salt")
-    return once.dropDuplicatesWithinWatermark([job])
+    first = F.min(F.struct(ts, "status")).alias("_first")
+    done = status.where(F.col("status").isin(*TERMINAL_JOB_STATUSES))
+    return done.groupBy(job).agg(first).select(job, "_first.status", f"_first.{ts}")
 
 
 def status_view(status: DataFrame, job: str = "job_id", ts: str = "ts") -> DataFrame:
@@ -74,49 +73,64 @@ def stalled_jobs(status: DataFrame, now, max_wait_seconds: int, job: str = "job_
     return seen.where(~F.col("_done") & (waited > max_wait_seconds)).drop("_done")
 
 
+# Stream workers need not be able to import this package: what they run is sent by value.
+register_pickle_by_value(sys.modules[__name__])
+
+
 class _StallTimer(StatefulProcessor):
-    """Per job: remember the first report, fire when the limit passes without a terminal status."""
+    """Per job: fire once when the limit passes without a terminal status, forget ended and reported jobs later."""
 
-    def __init__(self, max_wait_seconds: int):
+    def __init__(self, max_wait_seconds: int, keep_seconds: int):
         self.max_wait_ms = max_wait_seconds * 1000
+        self.keep_ms = keep_seconds * 1000
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.first = handle.getValueState("first", "first_ms bigint, done boolean")
+        self.job = handle.getValueState("job", "first_ms bigint, last_ms bigint, closed boolean, timer_ms bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        first, done = self.first.get() if self.first.exists() else (None, False)
+        first, last, closed, timer = self.job.get() if self.job.exists() else (None, None, False, None)
         for frame in rows:
-            ms = int(frame["ts"].min().value // 1_000_000)
-            first = ms if first is None else min(first, ms)
-            done = done or bool(frame["status"].isin(TERMINAL_JOB_STATUSES).any())
-        timers = [t for (t,) in self.handle.listTimers()]
-        for t in timers:
-            self.handle.deleteTimer(t)
-        if not done:
-            self.handle.registerTimer(first + self.max_wait_ms)
-        self.first.update((first, done))
+            low, high = (int(t.value // 1_000_000) for t in (frame["ts"].min(), frame["ts"].max()))
+            first = low if first is None else min(first, low)
+            last = high if last is None else max(last, high)
+            closed = closed or bool(frame["status"].isin(TERMINAL_JOB_STATUSES).any())
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        self._save(first, last, closed)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        first, _ = self.first.get()
+        first, last, closed, _ = self.job.get()
+        if closed:
+            self.job.clear()
+            return
+        self._save(first, max(last, first + self.max_wait_ms), True)
         yield pd.DataFrame({"job_id": [key[0]], "first_ts": [pd.Timestamp(first, unit="ms")]})
 
+    def _save(self, first: int, last: int, closed: bool) -> None:
+        timer = last + self.keep_ms if closed else first + self.max_wait_ms
+        self.handle.registerTimer(timer)
+        self.job.update((first, last, closed, timer))
+
     def close(self) -> None:
         pass
 
 
-def stalled_jobs_stream(status: DataFrame, max_wait_seconds: int, delay: str) -> DataFrame:
-    """Streaming form: a job is reported when event time passes its limit without a terminal status.
+def stalled_jobs_stream(
+    status: DataFrame, max_wait_seconds: int, delay: str, keep_seconds: int = 7 * 86400
+) -> DataFrame:
+    """Streaming form: a job is reported once, when event time passes its limit without a terminal status.
 
-    Needs the RocksDB state store. ``status`` has job_id, status, ts.
+    Ended and reported jobs are remembered for ``keep_seconds`` after their last report, so that later polls do
+    not open them anew. Needs the RocksDB state store. ``status`` has job_id, status, ts.
     """
     return (
         status.select("job_id", "status", "ts")
         .withWatermark("ts", delay)
         .groupBy("job_id")
         .transformWithStateInPandas(
-            statefulProcessor=_StallTimer(max_wait_seconds),
+            statefulProcessor=_StallTimer(max_wait_seconds, keep_seconds),
             outputStructType="job_id string, first_ts timestamp",
             outputMode="append",
             timeMode="eventTime",
