@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framefold.constants import BOTH_SOURCES_TEXT
@@ -34,6 +34,25 @@ def total_ingested(counts: DataFrame) -> DataFrame:
     return counts.agg(F.coalesce(F.sum("ingested_count"), F.lit(0)).alias("ingested_count"))
 
 
+def numbered(df: DataFrame, group: Sequence[str], chunk: str, order: Sequence[str], name: str = "pos") -> DataFrame:
+    """Number the rows of each group from 0, by ``chunk`` and then by ``order``.
+
+    Rows are ranked inside their chunk, such as one response; a chunk's first number is the sum of the
+    counts of the chunks before it. So a group with much of the data is ranked in as many parts as it has chunks.
+    """
+    counts = df.groupBy(*group, chunk).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select(*group, chunk, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    within = Window.partitionBy(*group, chunk).orderBy(*order)
+    keys = [*group, chunk]
+    firsts = firsts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_first")
+    ranked = df.withColumn("_rank", F.row_number().over(within) - 1)
+    joined = ranked.join(firsts, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    return joined.withColumn(name, F.col("_first") + F.col("_rank")).drop(
+        "_first", "_rank", *[f"_k{i}" for i in range(len(group) + 1)]
+    )
+
+
 def metadata_by_source(
     assets: DataFrame,
     batch: Sequence[str],
@@ -60,18 +79,30 @@ def batch_result(
     sources: Sequence[str],
     video_source: str | None = None,
     batch: str = "campaign",
+    batches: DataFrame | None = None,
 ) -> DataFrame:
-    """Envelope per batch: size, source description, total and counts per source."""
+    """Envelope per batch: size, source description, total and counts per source.
+
+    ``batches`` lists batches that must have an envelope even if they found nothing; its column
+    ``batch_size``, if there is one, overrides the common size.
+    """
+    zero = F.lit(0).cast("bigint")
     counts = assets.groupBy(batch).agg(
         F.count(F.lit(1)).alias("ingested_count"),
         *[F.count_if(F.col("source") == s).alias(f"_{i}") for i, s in enumerate(sources)],
     )
-    pairs = [x for i, s in enumerate(sources) for x in (F.lit(s), F.col(f"_{i}"))]
+    size = F.lit(batch_size).cast("bigint")
+    if batches is not None:
+        asked = batches.select(batch, *[c for c in batches.columns if c == "batch_size"]).dropDuplicates([batch])
+        counts = counts.join(asked, batch, "full")
+        if "batch_size" in batches.columns:
+            size = F.coalesce(F.col("batch_size").cast("bigint"), size)
+    pairs = [x for i, s in enumerate(sources) for x in (F.lit(s), F.coalesce(f"_{i}", zero))]
     return counts.select(
         batch,
-        F.lit(batch_size).cast("bigint").alias("batch_size"),
+        size.alias("batch_size"),
         F.lit(video_source or BOTH_SOURCES_TEXT).alias("video_source"),
-        "ingested_count",
+        F.coalesce("ingested_count", zero).alias("ingested_count"),
         F.create_map(*pairs).alias("source_counts"),
     )
 
@@ -88,13 +119,10 @@ def batch_documents(envelopes: DataFrame, lists: DataFrame, batch: str = "campai
     )
 
 
-def outcome_counts(ok: DataFrame, rejects: DataFrame, batch: str) -> DataFrame:
-    """Successes and rejects per batch."""
-    flags = ok.select(batch, F.lit(True).alias("_ok")).unionByName(
-        rejects.select(batch, F.lit(False).alias("_ok"))
-    )
-    return flags.groupBy(batch).agg(
-        F.count_if("_ok").alias("processed_count"), F.count_if(~F.col("_ok")).alias("rejected_count")
+def outcome_counts(flagged: DataFrame, batch: str, ok: str = "ok") -> DataFrame:
+    """Successes and rejects per batch, from one flag per row."""
+    return flagged.groupBy(batch).agg(
+        F.count_if(ok).alias("processed_count"), F.count_if(~F.col(ok)).alias("rejected_count")
     )
 
 

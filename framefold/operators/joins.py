@@ -55,6 +55,14 @@ def join_jobs(assets: DataFrame, jobs: DataFrame, key: str = "s3_key") -> DataFr
     return assets.where(F.col(key) != "").join(started, key, "inner")
 
 
+def match_jobs(assets: DataFrame, jobs: DataFrame, key: str = "s3_key") -> tuple[DataFrame, DataFrame]:
+    """Assets with their job, and those that got none with the reason; one join serves both."""
+    started = jobs.select("job_id", F.col("video_s3_key").alias(key))
+    matched = assets.join(started, key, "left")
+    missing = F.coalesce(F.col("job_id") == "", F.lit(True))
+    return matched.where(~missing), matched.where(missing).withColumn("reason", F.lit("no job"))
+
+
 def join_responses(
     jobs: DataFrame, responses: DataFrame, key: str = "job_id"
 ) -> tuple[DataFrame, DataFrame]:

@@ -19,7 +19,7 @@ from framefold.plans.registry import query
 from framefold.session import scratch_dir
 from framefold.sources import executions as E
 from framefold.sources import index_table as I
-from framefold.sources.detections import gate_succeeded, land_pages, parse_responses
+from framefold.sources.detections import gate_flags, gate_succeeded, land_pages, parse_responses, parse_status
 from framefold.sources.objects import list_keys, scan_objects, source_flags
 from framefold.sources.sinks import notifications, write_analysis, write_assets
 
@@ -176,8 +176,7 @@ def _(spark, sf):
           count(*) FILTER (status <> 'SUCCEEDED') AS rejected_count FROM pages_in GROUP BY 1""",
 )
 def _(spark, sf):
-    pages = parse_responses(V.response_pages(spark, sf)).select("job_id", "status", "message")
-    return A.outcome_counts(*gate_succeeded(pages), "job_id")
+    return A.outcome_counts(gate_flags(parse_status(V.response_pages(spark, sf))), "job_id")
 
 
 @query(
@@ -415,9 +414,7 @@ def _(spark, sf):
 BATCH = 200
 
 
-@query(
-    "run_batch",
-    f"""WITH {V.SQL_CATALOGUE_A}, {V.SQL_CATALOGUE_B}, {V.SQL_INDEX},
+_BATCH_SQL = f"""WITH {V.SQL_CATALOGUE_A}, {V.SQL_CATALOGUE_B}, {V.SQL_INDEX},
         a AS (SELECT campaign, 'wikimedia' AS source, source_id, source_id AS title, url, mime FROM cat_a
               QUALIFY row_number() OVER (PARTITION BY campaign ORDER BY response, pos) <= {BATCH // 2}),
         b AS (SELECT * FROM hits_b
@@ -435,16 +432,15 @@ BATCH = 200
                     || '.' || CASE WHEN contains(mime, 'mp4') OR contains(url, 'mp4') THEN 'mp4'
                                    WHEN contains(mime, 'webm') OR contains(url, 'webm') THEN 'webm'
                                    ELSE 'mp4' END AS s3_key
-                  FROM fresh)
-        SELECT DISTINCT 'video#' || campaign || '#20240501100000' AS id, campaign, source, source_id, s3_key,
-               replace(replace(replace(s3_key, 'media-raw', 'media-processed'), '.mp4', '_labels.json'),
-                       '.webm', '_labels.json') AS processed_key,
-               2 AS total_labels, campaign AS top_name, '2024-05-01T10:00:00+00:00' AS processed_at,
-               CAST(1714557600 + 365 * 86400 AS BIGINT) AS ttl
-        FROM named WHERE source <> 'wikimedia' OR NOT contains(source_id, 'alt')""",
-)
-def _(spark, sf):
-    """Landed responses of both catalogues to index rows; half of catalogue A's jobs fail."""
+                  FROM fresh)"""
+
+
+def _batch(spark, sf):
+    """Landed responses of both catalogues to all outputs.
+
+    Half of catalogue A's jobs fail, hits of catalogue B whose id begins with 1 get no job, each catalogue
+    has a response per campaign that is no JSON, and one per campaign that found nothing.
+    """
     root = scratch_dir(spark, "batch")
 
     def store(name, df):
@@ -452,7 +448,8 @@ def _(spark, sf):
         return spark.read.parquet(f"{root}/{name}")
 
     def jobs(assets):
-        return assets.select("s3_key").distinct().select(
+        refused = (F.col("source") == "pixabay") & F.startswith("source_id", F.lit("1"))
+        return assets.where(~refused).select("s3_key").distinct().select(
             F.sha2("s3_key", 256).alias("job_id"),
             F.lit("IN_PROGRESS").alias("status"),
             F.col("s3_key").alias("video_s3_key"),
@@ -462,7 +459,15 @@ def _(spark, sf):
     index = V.index_rows(spark, sf).withColumn(
         "source", F.when(F.col("source_id").cast("bigint") % 2 == 0, "pixabay").otherwise("other")
     )
-    inputs = {"wikimedia": V.raw_catalogue_a(spark, sf), "pixabay": V.raw_catalogue_b(spark, sf)}
+    langs = V.table(spark, sf, "documents").select("lang").distinct()
+    response = F.lit(-1).cast("bigint").alias("response")
+    odd = langs.select(F.col("lang").alias("campaign"), response, F.lit("<html>").alias("body")).union(
+        langs.select(F.concat("lang", F.lit("-void")), response, F.lit("{}"))
+    )
+    inputs = {
+        "wikimedia": V.raw_catalogue_a(spark, sf).select("campaign", "response", "body").union(odd),
+        "pixabay": V.raw_catalogue_b(spark, sf).select("campaign", "response", "body").union(odd),
+    }
     now = F.lit("2024-05-01 10:00:00").cast("timestamp")
 
     def detections(assets):
@@ -483,9 +488,24 @@ def _(spark, sf):
             F.to_json(body).alias("body"),
         )
 
-    result = run_batch(
+    return run_batch(
         inputs, index, jobs, detections, BATCH, now, available={"catalogue_b_key"}, store=store
     )
+
+
+@query(
+    "run_batch",
+    f"""{_BATCH_SQL}
+        SELECT DISTINCT 'video#' || campaign || '#20240501100000' AS id, campaign, source, source_id, s3_key,
+               replace(replace(replace(s3_key, 'media-raw', 'media-processed'), '.mp4', '_labels.json'),
+                       '.webm', '_labels.json') AS processed_key,
+               2 AS total_labels, campaign AS top_name, '2024-05-01T10:00:00+00:00' AS processed_at,
+               CAST(1714557600 + 365 * 86400 AS BIGINT) AS ttl
+        FROM named WHERE source = 'wikimedia' AND NOT contains(source_id, 'alt')
+                      OR source = 'pixabay' AND NOT starts_with(source_id, '1')""",
+)
+def _(spark, sf):
+    result = _batch(spark, sf)
     doc = json_or_empty("metadata")
     return result.index.select(
         "id",
@@ -499,3 +519,49 @@ def _(spark, sf):
         "processed_at",
         "ttl",
     )
+
+
+@query(
+    "run_batch_rejects",
+    f"""{_BATCH_SQL}
+        SELECT DISTINCT 'finalize' AS stage, s3_key AS key, 'Unknown error' AS reason FROM named
+        WHERE source = 'wikimedia' AND contains(source_id, 'alt')
+        UNION ALL SELECT DISTINCT 'start', s3_key, 'no job' FROM named
+        WHERE source = 'pixabay' AND starts_with(source_id, '1')
+        UNION ALL SELECT DISTINCT 'ingest', lang || '/' || s || '/-1', 'unreadable response'
+        FROM documents, (VALUES ('wikimedia'), ('pixabay')) AS t(s)""",
+)
+def _(spark, sf):
+    """What the batch could not finish, and why."""
+    return _batch(spark, sf).rejects
+
+
+@query(
+    "run_batch_envelopes",
+    f"""{_BATCH_SQL}, asked AS (SELECT DISTINCT lang AS campaign FROM documents
+          UNION ALL SELECT DISTINCT lang || '-void' FROM documents)
+        SELECT campaign, CAST({BATCH} AS BIGINT) AS batch_size, count(source) AS ingested_count,
+          count(*) FILTER (source = 'wikimedia') AS n_wikimedia, count(*) FILTER (source = 'pixabay') AS n_pixabay
+        FROM asked LEFT JOIN named USING (campaign) GROUP BY 1""",
+)
+def _(spark, sf):
+    """One envelope per campaign asked for, also for those that found nothing."""
+    return _batch(spark, sf).envelopes.select(
+        "campaign",
+        "batch_size",
+        "ingested_count",
+        *[F.coalesce(F.col("source_counts")[s], F.lit(0).cast("bigint")).alias(f"n_{s}") for s in SOURCES],
+    )
+
+
+@query(
+    "run_batch_counts",
+    f"""{_BATCH_SQL}, jobs AS (SELECT DISTINCT campaign, source, s3_key,
+          source = 'wikimedia' AND contains(source_id, 'alt') OR source = 'pixabay' AND starts_with(source_id, '1') AS lost
+          FROM named)
+        SELECT campaign, count(*) FILTER (NOT lost) AS processed_count, count(*) FILTER (lost) AS rejected_count
+        FROM jobs GROUP BY 1""",
+)
+def _(spark, sf):
+    """Processed and rejected storage keys per campaign."""
+    return _batch(spark, sf).counts

@@ -18,7 +18,14 @@ from framefold.plans.batch import to_assets
 from framefold.plans.registry import query
 from framefold.session import scratch_dir
 from framefold.sources import catalogues as C
-from framefold.sources.detections import gate_succeeded, land_pages, parse_responses, scan_detections
+from framefold.sources.detections import (
+    gate_flags,
+    gate_succeeded,
+    land_pages,
+    parse_responses,
+    parse_status,
+    scan_detections,
+)
 from framefold.sources.objects import with_file_size
 
 BATCH_TS = "20240101_120000"
@@ -159,13 +166,8 @@ def _(spark, sf):
         FROM pages_in GROUP BY ALL""",
 )
 def _(spark, sf):
-    ok, bad = gate_succeeded(parse_responses(V.response_pages(spark, sf)))
-    both = ok.withColumn("reason", F.lit(None).cast("string")).select("job_id", "status", "reason")
-    return (
-        both.unionByName(bad.select("job_id", "status", "reason"))
-        .groupBy("job_id", "status", "reason")
-        .agg(F.count(F.lit(1)).alias("pages"))
-    )
+    flagged = gate_flags(parse_status(V.response_pages(spark, sf)))
+    return flagged.groupBy("job_id", "status", "reason").agg(F.count(F.lit(1)).alias("pages"))
 
 
 @query(

@@ -76,3 +76,5 @@ mapIterationStartedEventDetails {_ITERATION},
 mapIterationSucceededEventDetails {_ITERATION},
 mapIterationFailedEventDetails {_ITERATION}
 """
+
+DETECTION_STATUS = "JobStatus string, StatusMessage string"

@@ -43,6 +43,12 @@ def scan_catalogue_b(raw: DataFrame, body: str = "body") -> DataFrame:
     return raw.select(*keep, F.posexplode(parsed["hits"]).alias("pos", "hit"))
 
 
+def unreadable(raw: DataFrame, body: str = "body") -> DataFrame:
+    """Responses whose body is no JSON, without the body, and the reason."""
+    bad = F.try_parse_json(body).isNull()
+    return raw.where(bad).drop(body).withColumn("reason", F.lit("unreadable response"))
+
+
 def first_imageinfo(pages: DataFrame) -> DataFrame:
     """Pages with at least one media description, the first as column ``info``."""
     info = F.get("page.imageinfo", F.lit(0))

@@ -32,6 +32,25 @@ def parse_responses(raw: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def parse_status(raw: DataFrame, body: str = "body") -> DataFrame:
+    """Only status and message of each response page: the parser skips the labels."""
+    keep = [c for c in raw.columns if c != body]
+    r = F.col("_r")
+    return parse_once(raw, body, schemas.DETECTION_STATUS, "_r").select(
+        *keep, r["JobStatus"].alias("status"), r["StatusMessage"].alias("message")
+    )
+
+
+def succeeded(status: str = "status") -> Column:
+    return F.coalesce(F.col(status) == "SUCCEEDED", F.lit(False))
+
+
+def gate_flags(df: DataFrame, status: str = "status", message: str = "message") -> DataFrame:
+    """The gate in one pass: ``ok``, and ``reason`` where it is false."""
+    reason = F.when(~succeeded(status), F.coalesce(message, F.lit(UNKNOWN_ERROR)))
+    return df.withColumns({"ok": succeeded(status), "reason": reason})
+
+
 def land_pages(pages: DataFrame, path: str) -> DataFrame:
     """Write parsed pages and read them back, so that several outputs share one parse."""
     pages.write.mode("overwrite").parquet(path)
@@ -66,6 +85,6 @@ def gate_succeeded(
     df: DataFrame, status: str = "status", message: str = "message"
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with status SUCCEEDED, and the others with a reason."""
-    ok = F.coalesce(F.col(status) == "SUCCEEDED", F.lit(False))
+    ok = succeeded(status)
     rejects = df.where(~ok).withColumn("reason", F.coalesce(message, F.lit(UNKNOWN_ERROR)))
     return df.where(ok), rejects

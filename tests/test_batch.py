@@ -72,5 +72,37 @@ def test_two_batches_second_is_all_duplicates(spark, tmp_path):
     assert second.index.count() == 0 and second.rejects.count() == 2
 
 
+def test_nothing_is_lost(spark):
+    """Every asset ends in the index or in the rejects, every broken response in the rejects."""
+    pages = {str(i): page(f"File:Clip {i}.mp4") for i in range(4)}
+    good = landed(spark, {"query": {"pages": pages}})
+    rows = good.union(good.selectExpr("CAST(NULL AS STRING)", "response", "body")).union(
+        spark.createDataFrame([("nature", 7, "<html>"), ("empty", 8, "{}")], good.schema)
+    )
+
+    def jobs(assets):
+        named = assets.where("s3_key IS NOT NULL AND source_id <> 'File:Clip 0.mp4'")
+        return named.selectExpr(
+            "source_id AS job_id", "'IN_PROGRESS' AS status", "s3_key AS video_s3_key", "'b' AS video_s3_bucket"
+        )
+
+    answers = [("File:Clip 1.mp4", "SUCCEEDED"), ("File:Clip 2.mp4", "FAILED")]
+    detections = spark.createDataFrame(
+        [(j, 0, json.dumps({"JobStatus": s})) for j, s in answers], "job_id string, page bigint, body string"
+    )
+    index = spark.createDataFrame([], "media_type string, campaign string, source string, source_id string")
+    out = run_batch({"wikimedia": rows}, index, jobs, detections, 10, F.lit("2024-01-01 12:00:00").cast("timestamp"))
+    rejected = sorted((r.stage, r.reason) for r in out.rejects.collect())
+    assert rejected == [
+        ("finalize", "Unknown error"), ("finalize", "no response"), ("ingest", "unreadable response"),
+        *[("start", "missing s3_key")] * 4, ("start", "no job"),
+    ]
+    assert out.assets.count() == out.index.count() + sum(s != "ingest" for s, _ in rejected)
+    counts = {r.campaign: (r.processed_count, r.rejected_count) for r in out.counts.collect()}
+    assert counts == {"nature": (1, 3), None: (0, 4)}
+    envelopes = {r.campaign: (r.batch_size, r.ingested_count) for r in out.envelopes.collect()}
+    assert envelopes["empty"] == (10, 0) and envelopes["nature"] == (10, 4)
+
+
 def test_no_source_left(spark):
     assert run_batch({"pixabay": None}, None, None, None, 2, F.lit(None), requested="pixabay") is None

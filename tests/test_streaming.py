@@ -30,12 +30,13 @@ def test_terminal_jobs_once_across_runs(spark, tmp_path):
     src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
     land(spark, src, polls())
     for _ in range(2):
-        done = S.terminal_jobs(stream(spark, src), "1 day")
-        S.drain(done, out, ck).awaitTermination()
-        # a late repeat of a finished job, picked up by the second run
-        land(spark, src, [("a", "SUCCEEDED", T0 + timedelta(minutes=5)), ("d", "FAILED", T0 + timedelta(minutes=5))])
-    got = [(r.job_id, r.status) for r in spark.read.parquet(out).collect()]
-    assert sorted(got) == [("a", "SUCCEEDED"), ("b", "FAILED"), ("d", "FAILED")]
+        S.publish_view(S.terminal_jobs(stream(spark, src)), out, ck).awaitTermination()
+        # late repeats of a finished job, picked up by the second run: neither is its first end
+        land(spark, src, [("a", s, T0 + timedelta(minutes=5)) for s in ("SUCCEEDED", "FAILED")])
+        land(spark, src, [("d", "FAILED", T0 + timedelta(minutes=5))])
+    got = [(r.job_id, r.status, r.ts) for r in S.read_view(spark, out, ["job_id"]).collect()]
+    one, five = (T0 + timedelta(minutes=m) for m in (1, 5))
+    assert sorted(got) == [("a", "SUCCEEDED", one), ("b", "FAILED", one), ("d", "FAILED", five)]
 
 
 def test_status_view_and_stats_equal_batch(spark, tmp_path):
@@ -70,6 +71,10 @@ def test_stalled_batch_and_stream(spark, tmp_path):
     run()
     land(spark, src, [("f", "SUCCEEDED", T0 + timedelta(hours=3))])
     run()
+    # polled again after it was reported: not reported again
+    for hour in (4, 5, 6):
+        land(spark, src, [("c", "UNKNOWN", T0 + timedelta(hours=hour))])
+        run()
     got = spark.read.schema("job_id string, first_ts timestamp").parquet(out).collect()
     assert [(r.job_id, r.first_ts) for r in got] == [("c", T0)]
 
