@@ -191,8 +191,8 @@ def mixture(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("string"), F.lit("n")).alias("_id"),
         F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("_src"),
         F.col("size").alias("_size"),
-        "full",
-        "ranges",
+        F.col("full").alias("_full"),
+        F.col("ranges").alias("_ranges"),
     )
     left = docs.withColumns(
         {
@@ -201,9 +201,9 @@ def mixture(docs: DataFrame) -> DataFrame:
             "_size": word_count(),
         }
     ).withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("text"))))
-    right = taken.withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy("full", F.size("ranges"))))
-    whole = F.array_repeat(F.expr("named_struct('from', 0L, 'to', _size)"), F.col("full").cast("int"))
-    copies = left.join(right, [*same, "_nth"]).withColumn("_copy", F.explode(F.concat(whole, F.col("ranges"))))
+    right = taken.withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy("_full", F.size("_ranges"))))
+    whole = F.array_repeat(F.expr("named_struct('from', 0L, 'to', _size)"), F.col("_full").cast("int"))
+    copies = left.join(right, [*same, "_nth"]).withColumn("_copy", F.explode(F.concat(whole, F.col("_ranges"))))
     words = F.slice(
         F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)),
         (F.col("_copy.from") + 1).cast("int"),
