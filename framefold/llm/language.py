@@ -156,7 +156,10 @@ def keep_known(docs: DataFrame, model: Model, least: float = LEAST_SHARE) -> Dat
             texts = batch.column(at).to_pylist()
             if learned:
                 decoder = decoder_of(key, shared)
-                kept = [document_shares(counts, p).max(axis=1) >= least for _, counts, p in decoder.decode(texts)]
+                kept = [
+                    (counts > 0) & (document_shares(counts, p).max(axis=1) >= least)
+                    for _, counts, p in decoder.decode(texts)
+                ]
                 mask = np.concatenate(kept) if kept else np.zeros(0, dtype=bool)
             else:
                 mask = np.array([bool(t and WORD.search(t)) for t in texts], dtype=bool)
