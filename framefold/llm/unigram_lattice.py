@@ -1,11 +1,11 @@
 """Document likelihood under a unigram subword model, summed over all segmentations.
 
 The pieces are those of a given vocabulary; its scores start the weights, which expectation
-maximisation then fits to the training words. Words that are frequent in training have an edge of their
-own over the whole word, with their share of the tokens as weight, and the pieces are fitted to the other
-words, which they have to spell. Pieces do not cross white space, so the lattice of a document is the
-chain of its words' lattices, and its marginal is the product of theirs: each distinct word's forward
-recursion is run once and reused.
+maximisation then fits to the training words, and stay in them as a prior. Every training word has an edge of
+its own over the whole word, with its count as weight, at any frequency; the pieces, which have to spell the
+words that training lacks, are fitted to each distinct training word once. Pieces do not cross white space, so
+the lattice of a document is the chain of its words' lattices, and its marginal is the product of theirs: the
+forward recursion of each distinct word is run once and joined to the texts that have it.
 """
 
 from __future__ import annotations
@@ -29,12 +29,11 @@ HELD_OUT = 2
 ROUNDS = 3
 #: Words of at least one in so many training tokens are looked up in the workers; there are no more of them than that.
 HEAD = 300_000
-#: Distinct words a worker gathers before it hands them on, and whose likelihoods it remembers.
+#: Distinct words a worker gathers before it hands them on.
 GATHERED = 300_000
-#: Texts that a worker scores together, and cells (words times bytes) of a table of forward sums.
-TEXTS = 500
+#: Cells (words times bytes) of a table of forward sums.
 CELLS = 400_000
-#: Added to every expected count, so that no piece is impossible.
+#: Added to the expected counts for each piece, in the proportions of the first weights, so that no piece is impossible.
 SMOOTHING = 0.01
 WORD_START = "▁".encode()
 
@@ -131,12 +130,9 @@ Edges = list[tuple[int, int, np.ndarray, np.ndarray]]
 class Scorer:
     """Forward and backward recursions, in log space, over the lattices of many words of one length at once."""
 
-    def __init__(self, trie: Trie, logs: np.ndarray, often: dict[bytes, int] | None = None, total: float = 1.0):
+    def __init__(self, trie: Trie, logs: np.ndarray):
         self.trie = trie
         self.logs = logs
-        self.often = often or {}
-        self.total = math.log(total)
-        self.known: dict[bytes, float] = {}
 
     def groups(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Indices of words of one length, and their bytes after the word mark."""
@@ -175,24 +171,12 @@ class Scorer:
         return edges, alpha
 
     def log_likelihoods(self, words: list[bytes]) -> np.ndarray:
-        """Natural logarithms of the sums over all segmentations of each word, its own edge included."""
+        """Natural logarithms of the sums over all segmentations of each word into pieces."""
         out = np.zeros(len(words))
         for part, data in self.groups(words):
             out[part] = self.forward(data)[1][-1]
-        for i, word in enumerate(words):
-            if word in self.often:
-                out[i] = np.logaddexp(out[i], math.log(self.often[word]) - self.total)
         return out
 
-    def remember(self, words: set[bytes]) -> dict[bytes, float]:
-        """The likelihoods of at least these words."""
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > GATHERED:
-            self.known.clear()
-            fresh = list(words)
-        self.known.update(zip(fresh, self.log_likelihoods(fresh).tolist()))
-        return self.known
-
     def expect(self, words: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
         """Add the expected number of each piece in ``times`` occurrences of the words."""
         for part, data in self.groups(words):
@@ -216,7 +200,10 @@ def _scorer(key: str, shared: Broadcast) -> Scorer:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, n`` over all texts of ``docs``. Workers hand on sums of at most ``GATHERED`` words, added up after the shuffle."""
+    """``word, n`` over all texts of ``docs``: every word, with its occurrences in rows where ``training`` holds.
+
+    Workers hand on sums of at most ``GATHERED`` words, added up after the shuffle.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -227,26 +214,38 @@ def word_counts(docs: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(tokens(text.as_py()))
+            for text, training in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = tokens(text.as_py())
+                if training:
+                    counts.update(words)
+                else:
+                    for word in words:
+                        counts.setdefault(word, 0)
                 if len(counts) >= GATHERED:
                     yield rows()
                     counts.clear()
         yield rows()
 
-    return docs.select("text").mapInArrow(gather, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return (
+        docs.select("text", "training")
+        .mapInArrow(gather, "word binary, n bigint")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def fit(
     counts: DataFrame, texts: int, pieces: Pieces, others: float = 0.0, rounds: int = ROUNDS
 ) -> tuple[np.ndarray, float]:
-    """Log weights of the pieces and, last, of the end of a text, fitted to ``counts`` of training words; the sum
-    that the weights are shares of. ``others`` is the number of training tokens with an edge of their own.
+    """Log weights of the pieces and, last, of the end of a text, fitted to ``counts`` of words that the pieces spell;
+    the sum that the weights are shares of. ``others`` is the number of training tokens with an edge of their own.
+    The prior has the proportions of the vocabulary's own weights, so these stay where there are few words.
 
     Each round sends one row per piece and task, and brings one per piece to the driver: the vocabulary bounds both.
     """
     logs = pieces.first_weights()
     size = len(pieces.names)
+    prior = np.exp(logs) * (SMOOTHING * size)
     for _ in range(max(1, rounds)):
         shared = counts.sparkSession.sparkContext.broadcast((pieces.trie, logs))  # bounded by the vocabulary
         key = uuid.uuid4().hex
@@ -262,7 +261,7 @@ def fit(
         rows = (
             counts.mapInArrow(expect, "piece bigint, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
         )
-        expected = np.full(size + 1, SMOOTHING)
+        expected = prior.copy()
         for row in rows:
             expected[row["piece"]] += row["n"]
         expected[size] += texts
@@ -270,56 +269,72 @@ def fit(
     return logs, float(expected.sum() + others)
 
 
+def _likelihoods(counts: DataFrame, trie: Trie, weights: np.ndarray, mass: float) -> DataFrame:
+    """``word, n, log``: the natural logarithm of each word's marginal, its own edge of ``n`` in ``mass`` included."""
+    shared = counts.sparkSession.sparkContext.broadcast((trie, weights))  # bounded by the vocabulary
+    key = uuid.uuid4().hex
+    log_mass = math.log(mass) if mass else 0.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(key, shared)
+        for batch in batches:
+            logs = scorer.log_likelihoods(batch.column(0).to_pylist())
+            n = batch.column(1).to_numpy().astype(float)
+            own = np.log(n, out=np.full(len(n), -np.inf), where=n > 0) - log_mass
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.logaddexp(logs, own))], names=["word", "n", "log"]
+            )
+
+    return counts.select("word", "n").mapInArrow(run, "word binary, n bigint, log double")
+
+
 def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Trained on the rows outside the held-out fold, repeated rows as often as they occur. ``score`` is the
     log10 probability of the text: its words' marginals and the end's. ``base_score`` is that of a word unigram with
     one added to every count. A null or empty text has the end as its only token. Words that are frequent in
-    training are counted from a broadcast table of at most ``head`` words; the counts of all others are joined,
-    keyed by word and so spread evenly.
+    training are looked up in a broadcast table of at most ``head`` words; counts and marginals of all others are
+    joined, keyed by word and so spread evenly. ``head`` says where a word is looked up and changes no result.
     """
     spark = docs.sparkSession
     pieces = Pieces(vocabulary)
-    training = docs.where(id_remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
-    counts = land(word_counts(training), "words")
-    texts = training.count()
-    total = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0]
+    in_training = id_remainder(F.col("doc_id"), FOLDS) != HELD_OUT
+    texts = docs.where(in_training).count()
+    counts = land(word_counts(docs.select("text", in_training.alias("training"))), "words")
+    trained = counts.where("n > 0")
+    total = trained.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0]
     n_train = total["n"] + texts
     distinct = total["v"] + (texts > 0)
-    often = counts.where(F.col("n") * head >= n_train)
-    seldom = counts.where(F.col("n") * head < n_train)
-    table = {bytes(r["word"]): r["n"] for r in often.collect()}  # at most head rows, because counts sum to n_train
-    weights, mass = fit(seldom, texts, pieces, sum(table.values()), rounds)
+    weights, mass = fit(trained.select("word", F.lit(1).alias("n")), texts, pieces, total["n"], rounds)
+    likely = land(_likelihoods(counts, pieces.trie, weights, mass), "likelihoods")
+    is_often = (F.col("n") > 0) & (F.col("n") * head >= n_train)
+    # At most head rows, because counts sum to n_train.
+    table = {bytes(r["word"]): (r["n"], r["log"]) for r in likely.where(is_often).collect()}
+    seldom = likely.where(~is_often)
     shared_head = spark.sparkContext.broadcast(table)
-    shared = spark.sparkContext.broadcast((pieces.trie, weights, table, mass))
-    key = uuid.uuid4().hex
     ln10 = math.log(10)
     end = float(weights[-1]) / ln10
 
     def main(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(key, shared)
-        known = scorer.often
+        known = shared_head.value
         for batch in batches:
             rows: list[tuple] = []
-            for at in range(0, batch.num_rows, TEXTS):
-                texts = [Counter(tokens(t.as_py())) for t in batch.column(2).slice(at, TEXTS)]
-                scores = scorer.remember(set().union(*texts))
-                for words in texts:
-                    score, logs, seen, n = 0.0, 0.0, 0, 0
-                    for word, times in words.items():
-                        n += times
-                        score += times * scores[word]
-                        c = known.get(word)
-                        if c is not None:
-                            seen += times
-                            logs += times * math.log10(c + 1)
-                    rows.append((n, seen, logs, score / ln10 + end))
+            for text in batch.column(2):
+                score, logs, seen, n = 0.0, 0.0, 0, 0
+                for word, times in Counter(tokens(text.as_py())).items():
+                    n += times
+                    found = known.get(word)
+                    if found is not None:
+                        seen += times
+                        logs += times * math.log10(found[0] + 1)
+                        score += times * found[1]
+                rows.append((n, seen, logs, score / ln10 + end))
             columns = list(zip(*rows)) or [()] * 4
             types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types))],
-                names=["doc_id", "text_hash", "n_words", "head_known", "head_logs", "score"],
+                names=["doc_id", "text_hash", "n_words", "head_known", "head_logs", "head_score"],
             )
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +357,7 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, head
     rows = land(
         hashed.mapInArrow(
             main,
-            "doc_id bigint, text_hash bigint, n_words bigint, head_known bigint, head_logs double, score double",
+            "doc_id bigint, text_hash bigint, n_words bigint, head_known bigint, head_logs double, head_score double",
         ),
         "scores",
     )
@@ -351,12 +366,19 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, head
         .mapInArrow(rest, "text_hash bigint, word binary, times int")
         .join(seldom, "word")
         .groupBy("text_hash")
-        .agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
+        .agg(
+            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"),
+            F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"),
+            F.sum(F.col("times") * F.col("log")).alias("score"),
+        )
     )
     copies = rows.groupBy("text_hash").agg(F.count(F.lit(1)).alias("copies"))
     # Equal texts were read once for each copy and have the same words.
     tail = tail.join(copies, "text_hash").select(
-        "text_hash", F.expr("known div copies").alias("known"), (F.col("logs") / F.col("copies")).alias("logs")
+        "text_hash",
+        F.expr("known div copies").alias("known"),
+        (F.col("logs") / F.col("copies")).alias("logs"),
+        (F.col("score") / F.col("copies") / ln10).alias("tail_score"),
     )
     zero = F.lit(0).cast("bigint")
     n_tokens = F.col("n_words") + 1
@@ -373,7 +395,7 @@ def score_documents(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS, head
         (F.col("head_known") + F.coalesce("known", zero) + int(texts > 0)).alias("n_known"),
         F.lit(n_train).cast("bigint").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        (F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))).alias("score"),
     )
 
 

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from framefold.llm.unigram_lattice import WORD_START, Pieces, Scorer, default_vocabulary, score_documents
+from framefold.llm.unigram_lattice import WORD_START, Pieces, Scorer, default_vocabulary, fit, score_documents
 from tests.llm.data import ROWS, empty, odd
 
 
@@ -75,5 +75,26 @@ def test_base_scores_against_brute_force(spark, head):
     assert all(r.score < 0 for r in got)
 
 
+def test_every_training_word_has_its_edge_wherever_it_is_looked_up(spark):
+    texts = [f"often often often seldom{i}" for i in range(40)] + ["seldom1 seldom2 unheardof"]
+    docs = odd(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    by_head = []
+    for head in (1, 300_000):
+        got = {r.doc_id: r.score for r in score_documents(docs, default_vocabulary(), rounds=1, head=head).collect()}
+        by_head.append([got[i] for i in range(len(texts))])
+    assert np.allclose(*by_head)
+    # 33 or so words once each in some 140 tokens and the pieces that spell them: far likelier whole than spelled.
+    train = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(40) if i not in train]
+    assert min(by_head[0][i] for i in train) > max(by_head[0][i] for i in held)
+
+
+def test_the_vocabulary_keeps_its_order_without_words_to_fit(spark, pieces):
+    none = spark.createDataFrame([], "word binary, n bigint")
+    weights, _ = fit(none, 10, pieces, rounds=1)
+    first = pieces.first_weights()
+    assert np.allclose(np.diff(weights[:-1]), np.diff(first[:-1]))
+
+
 def test_empty_table(spark):
     assert score_documents(empty(spark), default_vocabulary(), rounds=1).count() == 0
