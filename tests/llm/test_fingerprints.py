@@ -61,3 +61,27 @@ def test_tables_find_all_within_the_radius(spark, radius):
     got = find_near(rows, spark.createDataFrame([(as_text(p),) for p in asks], "fingerprint string"), radius)
     want = {(as_text(a), as_text(p), (a ^ p).bit_count()) for a in asks for p in points if (a ^ p).bit_count() <= radius}
     assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_near_copies_are_found_at_the_default_radius(spark):
+    rng = random.Random(3)
+    points = [rng.getrandbits(128) for _ in range(40)]
+    for p in points[:40]:
+        for flips in (4, 11, 12, 16, 17, 18, 22):
+            q = p
+            for b in rng.sample(range(128), flips):
+                q ^= 1 << b
+            points.append(q)
+    # Bits spread evenly over the blocks are the hardest.
+    points += [points[0] ^ sum(1 << (i * 128 // 17) for i in range(17))]
+    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    texts = [" ".join(words), " ".join("new" if i % 50 == 25 else w for i, w in enumerate(words))]
+    near = [fingerprint_of(t) for t in texts]
+    assert 3 < (near[0] ^ near[1]).bit_count() <= 17
+    points = sorted({*points, *near})
+    asks = [points[i] for i in range(0, len(points), 3)] + near
+    rows = spark.createDataFrame([(as_text(p),) for p in points], "fingerprint string")
+    got = find_near(rows, spark.createDataFrame([(as_text(p),) for p in asks], "fingerprint string")).collect()
+    want = {(as_text(a), as_text(p), (a ^ p).bit_count()) for a in asks for p in points if (a ^ p).bit_count() <= 17}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert (as_text(near[0]), as_text(near[1])) in {(r.query, r.fingerprint) for r in got}
