@@ -1,8 +1,9 @@
 """Personal data: candidate spans ranked by gradient-boosted trees, all in DataFrame expressions.
 
 Generators propose spans generously. Those that a strict pattern and its check accept are the base: they
-always stay, and they are the examples that boosted trees learn from, by format and context. Other
-candidates are added if they score as high as thresholds, calibrated on held-out candidates, ask.
+always stay, and they are the examples that boosted trees learn from, by context and what all forms share.
+Counterexamples are other candidates without a word of their kind nearby; those with one are not labelled.
+Candidates are added if they score as high as thresholds, calibrated on held-out labelled candidates, ask.
 """
 
 from __future__ import annotations
@@ -16,11 +17,11 @@ from pyspark.sql import functions as F
 from framefold.llm.common import documents, land, query
 
 KINDS = ("email", "ip", "card", "phone")
-#: Candidates that the trees learn from, and that thresholds are calibrated on, at most each.
+#: Labelled candidates of each kind that the trees learn from at most; thresholds are calibrated on all held-out ones.
 SAMPLE = 10_000
 TREES = 10
 DEPTH = 4
-#: Share of accepted candidates at and above a threshold that the base confirms.
+#: Share of labelled candidates at and above a threshold that the base confirms.
 PRECISION = 0.98
 BINS = 100
 #: Code points before and after a span that are its context.
@@ -51,8 +52,9 @@ _CONTEXTS = {
     "ip": "ip|host|server|address|client",
     "email": "mail|contact|write|kontakt|correo|courriel",
 }
+# Nothing that tells the form of a base pattern from a generous one: no signs, separators, lengths or country codes.
 FEATURES = [
-    "kind_at", "length", "digits", "letters", "separators", "dots", "blanks", "plus", "parens", "first", "before", "after",
+    "kind_at", "digits", "before", "after",
     *(f"near_{k}" for k in _CONTEXTS),
 ]
 
@@ -141,19 +143,14 @@ def _accepted() -> Column:
 
 
 def _features(rows: DataFrame) -> DataFrame:
-    """Format and context as numbers; the base's own checks (checksum, ranges, counts) are not among them."""
-    counted = {
-        "digits": "[0-9]", "letters": "[A-Za-z]", "separators": "[./:,-]", "dots": "[.]", "blanks": "[ ]", "plus": "[+]", "parens": "[()]",
-    }
+    """Context and digits as numbers; the base's own checks (checksum, ranges, counts) are not among them."""
     edge = {
         "before": F.right("left", F.lit(1)),
         "after": F.left("right", F.lit(1)),
     }
     columns = {
         "kind_at": F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")),
-        "length": F.length("match"),
-        **{name: F.regexp_count("match", F.lit(pattern)) for name, pattern in counted.items()},
-        "first": F.coalesce(F.left("match", F.lit(1)).try_cast("int"), F.lit(-1)),
+        "digits": F.when(F.col("kind").isin("ip", "card"), F.regexp_count("match", F.lit("[0-9]"))).otherwise(0),
         **{
             name: F.when(c == "", 0).when(c.rlike("\\s"), 1).when(c.rlike("[\\p{L}\\p{N}]"), 2).otherwise(3)
             for name, c in edge.items()
@@ -181,19 +178,20 @@ def candidates(docs: DataFrame) -> DataFrame:
 def fit(found: DataFrame) -> tuple[GBTClassificationModel, DataFrame] | None:
     """Trees, and the threshold of each kind (``kind, threshold``); None without examples of both sorts.
 
-    Learned from at most ``SAMPLE`` candidates with even hashes and calibrated on as many with odd ones.
+    Learned from at most ``SAMPLE`` labelled candidates of each kind with even hashes, calibrated on all with odd ones.
     """
     key = F.xxhash64("text_key", "kind", "start", "end")
-    few = [
-        found.where(F.pmod(key, F.lit(2)) == part).orderBy(key, "text_key", "kind", "start", "end").limit(SAMPLE)
-        for part in (0, 1)
-    ]
+    near = F.coalesce(*[F.when(F.col("kind") == k, F.col(f"near_{k}") > 0) for k in KINDS])
+    labelled = found.where(F.col("accepted") | ~near)
+    even, odd = (labelled.where(F.pmod(key, F.lit(2)) == part) for part in (0, 1))
+    few = [even.where(F.col("kind") == k).orderBy(key, "text_key", "start", "end").limit(SAMPLE) for k in KINDS]
+    sample = few[0].union(few[1]).union(few[2]).union(few[3])
     label = F.col("accepted").cast("double")
-    train = land(_vectors(few[0]).select("features", label.alias("label")), "pii-examples")
+    train = land(_vectors(sample).select("features", label.alias("label")), "pii-examples")
     if train.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(train)
-    return model, _thresholds(_scored(few[1], model))
+    return model, _thresholds(_scored(odd, model))
 
 
 def _vectors(rows: DataFrame) -> DataFrame:

@@ -89,6 +89,17 @@ def test_trees_add_spans_that_look_like_the_base(spark):
     assert not any(s for i in range(400) for s in spans[1000 + i] if not s.base)
 
 
+def test_national_phones_and_obfuscated_addresses_are_added_in_clear_context(spark):
+    rows = [(i, f"please call +49 30 {1234567 + i} today", "en", "s") for i in range(150)]
+    rows += [(200 + i, f"contact: user{i}@mail.org today", "en", "s") for i in range(150)]
+    rows += [(400 + i, f"item 030 {4567 + i} {1000 + i} in stock", "en", "s") for i in range(150)]
+    rows += [(600 + i, f"please call 030 1234 {2000 + i} today", "en", "s") for i in range(150)]
+    rows += [(800 + i, f"contact: user{i} (at) mail (dot) org today", "en", "s") for i in range(150)]
+    spans = {r.doc_id: {s.kind for s in r.spans if not s.base} for r in spans_by_document(odd(spark, rows)).collect()}
+    assert all("phone" in spans[600 + i] and "email" in spans[800 + i] for i in range(150))
+    assert not any(spans[400 + i] for i in range(150))
+
+
 def _card(i):
     body = f"4{i:05d}123456789"[:15]
     return next(body + str(d) for d in range(10) if luhn(body + str(d)))
