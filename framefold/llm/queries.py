@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from framefold.llm import fingerprints, language, line_quality, mixing, packing, pii, sharding, simhash_dedup, toxicity, unigram_lattice  # noqa: F401
+from framefold.llm import (  # noqa: F401
+    fingerprints,
+    language,
+    line_quality,
+    mixing,
+    packing,
+    periodic_runs,
+    pii,
+    sharding,
+    simhash_dedup,
+    toxicity,
+    unigram_lattice,
+)
 from framefold.llm.common import ORACLES, QUERIES, Query
 
 
