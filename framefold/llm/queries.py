@@ -10,8 +10,10 @@ from framefold.llm import (  # noqa: F401
     packing,
     periodic_runs,
     pii,
+    positional_index,
     sharding,
     simhash_dedup,
+    token_alignment,
     toxicity,
     unigram_lattice,
 )
