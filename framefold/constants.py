@@ -33,6 +33,14 @@ STATE_NAMES = {
     "IndexVideo": "Index Video",
 }
 UNKNOWN_ERROR = "Unknown error"
+EXECUTION_STEPS = ("Execution Started", "Execution Completed", "Execution Failed")
+LAMBDA_TEXT = "Lambda: "
+RESOURCE_TEXT = "Resource: "
+STATE_TEXT = "State: "
+MAP_TEXT = "Map State: Processing %d job(s)"
+MAP_LIST_TEXT = "Map State: Processing multiple items"
+WAIT_STEP = "Wait %ss"
+WAIT_DETAILS = "Waiting %s seconds"
 LAST_ORDER = 9999
 KNOWN_EXECUTION_STATUSES = ("SUCCEEDED", "FAILED", "RUNNING", "TIMED_OUT", "ABORTED")
 STEP_PREFIXES = {"SUCCEEDED": "[SUCCESS]", "FAILED": "[FAILED]", "RUNNING": "[RUNNING]"}

@@ -3,7 +3,13 @@
 The events of one execution are an ordered log, and one execution may hold a
 large part of all events. Order-dependent work therefore runs on *segments*
 (``id`` ranges of one execution) whose size is bounded; what a segment needs
-from earlier ones is computed on one summary row per segment.
+from earlier ones is computed on summary rows of segments.
+
+A timeline is a reduction: every event is tagged once with the step it belongs
+to, as far as its own segment tells, and added to one summary row per segment
+and tag. Summaries combine associatively (minima and maxima by event id), so
+the few rows of an execution's segments are resolved by a running maximum over
+earlier segments and combined once more. The events are read and shuffled once.
 """
 
 from __future__ import annotations
@@ -13,7 +19,21 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framefold.constants import LAST_ORDER, MAP_STATE, STATE_NAMES, UNKNOWN_ERROR, WAIT_STATE
+from framefold.constants import (
+    EXECUTION_STEPS,
+    LAMBDA_TEXT,
+    LAST_ORDER,
+    MAP_LIST_TEXT,
+    MAP_STATE,
+    MAP_TEXT,
+    RESOURCE_TEXT,
+    STATE_NAMES,
+    STATE_TEXT,
+    UNKNOWN_ERROR,
+    WAIT_DETAILS,
+    WAIT_STATE,
+    WAIT_STEP,
+)
 from framefold.functions.documents import is_truthy_json
 from framefold.functions.text import has, segment
 from framefold.functions.times import step_duration
@@ -66,25 +86,25 @@ def first_visit(history: DataFrame) -> DataFrame:
     )
 
 
-def attribute_events(
-    history: DataFrame, segment_size: int = SEGMENT_SIZE, targets: DataFrame | None = None
-) -> DataFrame:
+def _segment(segment_size: int) -> Column:
+    return F.floor(F.col("id") / F.lit(segment_size)).cast("bigint")
+
+
+def _marker() -> Column:
+    """What an event says about the current state: the state entered, or none after an exit."""
+    return F.when(_is(*ENTERED), F.struct(_state().alias("state"))).when(
+        _is("TaskStateExited"), F.struct(F.lit(None).cast("string").alias("state"))
+    )
+
+
+def attribute_events(history: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
     """Add ``state_name``: the state entered most recently, NULL after its exit.
 
     A running "last marker" per segment, started from the last marker of the
-    earlier segments of the execution. With ``targets`` a map result belongs to
-    its execution's map step instead, if that was entered before. All of it costs
-    one shuffle of the events; what is joined to them is one row per segment.
+    earlier segments of the execution. It costs one shuffle of the events; what
+    is joined to them is one row per segment.
     """
-    marker = F.when(_is(*ENTERED), F.struct(_state().alias("state"))).when(
-        _is("TaskStateExited"), F.struct(F.lit(None).cast("string").alias("state"))
-    )
-    events = history.withColumns(
-        {
-            "segment": F.floor(F.col("id") / F.lit(segment_size)).cast("bigint"),
-            "_marker": marker,
-        }
-    )
+    events = history.withColumns({"segment": _segment(segment_size), "_marker": _marker()})
     within = (
         Window.partitionBy(ARN, "segment")
         .orderBy("id", "type")
@@ -101,148 +121,236 @@ def attribute_events(
         .agg(F.max_by("_marker", marked_at).alias("_tail"))
         .select(ARN, "segment", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
     )
-    state = F.coalesce("_local", "_carry")["state"]
-    if targets is not None:
-        carried = carried.join(targets, ARN, "left")
-        mine = F.when(F.col("id") > F.col("_since"), F.col("_target"))
-        state = F.when(_is("MapStateSucceeded"), mine).otherwise(state)
     running = events.withColumn("_local", F.last("_marker", ignorenulls=True).over(within))
     return (
         running.join(carried, [ARN, "segment"], "left")
-        .withColumn("state_name", state)
-        .drop("_marker", "_local", "_carry", "_target", "_since")
+        .withColumn("state_name", F.coalesce("_local", "_carry")["state"])
+        .drop("_marker", "_local", "_carry")
     )
 
 
-def map_targets(visits: DataFrame, map_state: str, names: Mapping[str, str]) -> DataFrame:
-    """Per execution the step that map results belong to: the first visited task or map state named so.
-
-    A wait is shown under another name, so a wait state's own name does not count.
-    """
-    is_map = (F.col("state_name") == map_state) | has(_display("state_name", names), "Map")
-    return visits.where(_is(*ENTERED) & is_map).groupBy(ARN).agg(
-        F.min_by("state_name", "id").alias("_target"), F.min("id").alias("_since")
-    )
+# How an event is tagged: execution rows, entries and waits under their own name, exits, facts of the state
+# entered before in the segment, facts of the state carried into it, results of the map step.
+_MARK, _OWN, _EXIT, _FACT, _CARRIED, _MAP = "mark", "own", "exit", "fact", "carried", "map"
 
 
-def state_steps(
+def segment_summaries(
     history: DataFrame,
-    visits: DataFrame | None = None,
     map_state: str = MAP_STATE,
     names: Mapping[str, str] = STATE_NAMES,
     segment_size: int = SEGMENT_SIZE,
 ) -> DataFrame:
-    """One row per execution and visited task or map state.
+    """One row per execution, segment and tag with all facts a timeline needs of its events.
 
-    status: SUCCEEDED after any overwriting success, else by the first terminal
-    event, else RUNNING. completed_at: the last overwriting success, else the
-    first terminal event. started_at, lambda and resource come from before the
-    first terminal event; error and cause from that event.
+    ``part`` counts, within a segment, the first marker, the first map result before and the first after an entry
+    of a map step: these end what can be summed up for a step without knowing earlier segments. Rows of a part come
+    before those of the next one. ``seen`` tells a map result that follows such an entry in its segment.
     """
-    visits = first_visit(history) if visits is None else visits
-    relevant = _is(*UNNAMED, "MapStateSucceeded")
-    attributed = (
-        attribute_events(
-            history.where(relevant | _is(*ENTERED, "TaskStateExited")),
-            segment_size,
-            map_targets(visits, map_state, names),
-        )
-        .where(relevant & F.col("state_name").isNotNull())
-        .select(ARN, "segment", "state_name", *_fact_columns())
-    )
+    entered, marks = _is(*ENTERED), _is("ExecutionStarted", "ExecutionSucceeded", "ExecutionFailed")
+    waits, results = _is("WaitStateEntered", "WaitStateExited"), _is("MapStateSucceeded")
+    own = F.when(entered, _state()).when(waits, F.coalesce("name", F.lit(WAIT_STATE)))
     lambda_name = F.when(
         (F.col("type") == "LambdaFunctionScheduled") & has(F.lower("resource"), "lambda"),
         F.nullif(segment("resource", ":", -1), F.lit("")),
     )
+    events = history.where(entered | marks | waits | results | _is(*UNNAMED, "TaskStateExited")).select(
+        ARN,
+        *_fact_columns(),
+        "seconds",
+        _segment(segment_size).alias("segment"),
+        own.alias("_own"),
+        _marker().alias("_marker"),
+        F.when(_is("MapStateEntered") & _is_object("input"), fanout_entering("input")).alias("jobs"),
+        lambda_name.alias("_lambda"),
+        F.when(entered & _is_map(_state(), map_state, names), F.col("id")).alias("_map_entry"),
+    )
+    order = Window.partitionBy(ARN, "segment").orderBy("id", "type")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    result_id = F.when(results, F.col("id"))
+    running = events.select(
+        "*",
+        F.last("_marker", ignorenulls=True).over(earlier).alias("_local"),
+        F.min("_map_entry").over(earlier).alias("_entry"),
+        F.min(result_id).over(earlier).alias("_first_result"),
+        F.max(result_id).over(earlier).alias("_last_result"),
+        F.count(F.when(marks, True)).over(earlier).alias("_marks"),
+        F.row_number().over(order).alias("_row"),
+    )
+    kind = (
+        F.when(marks, _MARK)
+        .when(entered | waits, _OWN)
+        .when(_is("TaskStateExited"), _EXIT)
+        .when(results, _MAP)
+        .when(F.col("_local").isNull(), _CARRIED)
+        .otherwise(_FACT)
+    )
+    unseen = F.col("_first_result").isNotNull() & (F.col("_entry").isNull() | (F.col("_first_result") < F.col("_entry")))
+    flags = (F.col("_local").isNotNull(), unseen, F.coalesce(F.col("_last_result") >= F.col("_entry"), F.lit(False)))
+    key = [ARN, "segment", "kind", "part", "seen", "state_name", "mark"]
+    tagged = running.withColumns(
+        {
+            "kind": kind,
+            "part": F.when(kind.isin(_FACT, _CARRIED, _MAP), sum((f.cast("int") for f in flags), F.lit(0))),
+            "seen": results & F.col("_entry").isNotNull(),
+            "state_name": F.when(entered | waits, F.col("_own")).when(kind == _FACT, F.col("_local.state")),
+            "mark": F.when(marks, F.col("_row")),
+        }
+    ).where((F.col("kind") != _FACT) | F.col("state_name").isNotNull())
     stops = F.when(_is(*TERMINAL) | F.col("_lambda").isNotNull(), F.col("id"))
-    in_segment = Window.partitionBy(ARN, "segment", "state_name")
-    of_step = Window.partitionBy(ARN, "state_name")
-    resource = F.when(
+    open_resource = F.when(
         (F.col("type") == "TaskScheduled")
         & (F.col("resource") != "")
         & ((F.col("id") < F.col("_stop")) | F.col("_stop").isNull()),
         F.struct("id", "resource"),
     )
-    per_segment = (
-        attributed.withColumn("_lambda", lambda_name)
-        .withColumn("_stop", F.min(stops).over(in_segment))
-        .groupBy(ARN, "segment", "state_name")
+    opens = (entered & F.col("state_name").isNotNull()) | _waits()
+    return (
+        tagged.withColumn("_stop", F.min(stops).over(Window.partitionBy(*key)))
+        .groupBy(*key)
         .agg(
+            F.min(_at(opens, "type", "ts", "seconds", "jobs", F.col("_marks").alias("marks"))).alias("opening"),
+            F.max(_at(_is("WaitStateExited"), "ts")).alias("left"),
+            F.max(_at(F.col("_marker").isNotNull(), "type")).alias("marker"),
             F.min(_at(_is(*TERMINAL), "type", "ts", "error", "cause", "output")).alias("term"),
             F.max(_at(_is(*OVERWRITING), "ts")).alias("done"),
             F.max(_at(_is(*OVERWRITING) & F.col("output").isNotNull(), "output")).alias("out"),
             F.min(_at(_is(*STARTED) & F.col("ts").isNotNull(), "ts")).alias("start"),
             F.min(_at(F.col("_lambda").isNotNull(), "_lambda")).alias("lam"),
-            F.max(resource).alias("res"),
+            F.max(open_resource).alias("res"),
+            F.min(_at(marks, "type", "ts", "error", "cause")).alias("execution"),
         )
     )
-    # A resource of a later segment is void once an earlier segment stopped the step.
-    stop_segment = F.min(
-        F.when(F.col("term").isNotNull() | F.col("lam").isNotNull(), F.col("segment"))
-    ).over(of_step)
-    facts = (
-        per_segment.withColumn("_stop_segment", stop_segment)
-        .groupBy(ARN, "state_name")
+
+
+def _combined(summaries: DataFrame, map_state: str, names: Mapping[str, str]) -> DataFrame:
+    """One row per execution and step, and one per execution row, from the summaries of all segments.
+
+    Facts carried into a segment go to the last state marked in an earlier one; map results go to the map step
+    visited first, if that was before. A resource counts up to the segment and part in which the step first ended.
+    """
+    execution = Window.partitionBy(ARN)
+    before = execution.orderBy("segment").rangeBetween(Window.unboundedPreceding, -1)
+    marked = F.when(F.col("marker").isNotNull(), F.struct("segment", "marker", "state_name"))
+    is_map = _is_map(F.col("state_name"), map_state, names) & F.col("opening.type").isin(*ENTERED)
+    target = F.when((F.col("kind") == _OWN) & is_map, F.struct(F.col("opening.id").alias("id"), "segment", "state_name"))
+    resolved = summaries.select(
+        "*",
+        F.max(marked).over(before).alias("_carry"),
+        F.coalesce(F.count("mark").over(before), F.lit(0)).alias("_marks"),
+        F.min(target).over(execution).alias("_target"),
+    )
+    visited = F.col("seen") | (F.col("_target.segment") < F.col("segment"))
+    state = (
+        F.when(F.col("kind").isin(_OWN, _FACT), F.col("state_name"))
+        .when(F.col("kind") == _CARRIED, F.col("_carry.state_name"))
+        .when((F.col("kind") == _MAP) & visited, F.col("_target.state_name"))
+    )
+    place = F.struct("segment", "part")
+    stopped = F.when(F.col("term").isNotNull() | F.col("lam").isNotNull(), place)
+    opening = F.when(
+        F.col("opening").isNotNull(), F.col("opening").withField("marks", F.col("opening.marks") + F.col("_marks"))
+    )
+    return (
+        resolved.withColumns({"state_name": state, "opening": opening})
+        .where(F.col("state_name").isNotNull() | F.col("mark").isNotNull())
+        .withColumn("_stop", F.min(stopped).over(Window.partitionBy(ARN, "state_name")))
+        .withColumn("_row", F.when(F.col("mark").isNotNull(), F.struct("segment", "mark")))
+        .groupBy(ARN, "state_name", "_row")
         .agg(
-            F.min("term").alias("term"),
-            F.max("done").alias("done"),
-            F.max("out").alias("out"),
-            F.min("start").alias("start"),
-            F.min("lam").alias("lam"),
-            F.max(
-                F.when(
-                    (F.col("segment") <= F.col("_stop_segment")) | F.col("_stop_segment").isNull(),
-                    F.col("res"),
-                )
-            ).alias("res"),
+            *(F.min(c).alias(c) for c in ("opening", "term", "start", "lam", "execution")),
+            *(F.max(c).alias(c) for c in ("left", "done", "out")),
+            F.max(F.when(F.col("_stop").isNull() | (place <= F.col("_stop")), F.col("res"))).alias("res"),
         )
     )
-    opened = visits.where(_is(*ENTERED)).select(
-        ARN, "state_name", F.col("id").alias("first_id"), F.col("ts").alias("entered_at"), "type", "input"
-    )
+
+
+def _timeline(history: DataFrame, map_state: str, names: Mapping[str, str], segment_size: int) -> DataFrame:
+    """Every row of the timeline: task, map and wait steps and execution rows."""
+    combined = _combined(segment_summaries(history, map_state, names, segment_size), map_state, names)
+    is_mark, is_wait = F.col("execution").isNotNull(), F.col("opening.type") == "WaitStateEntered"
+    visits = Window.partitionBy(ARN).orderBy(F.col("opening.id").asc_nulls_last(), "state_name")
+    number = (F.row_number().over(visits) - 1 + F.col("opening.marks")).cast("int")
     running = F.col("term").isNull()
+    gone = F.col("left.id") > F.col("opening.id")
 
     def before_end(fact: str) -> Column:
         return running | (F.col(f"{fact}.id") < F.col("term.id"))
 
+    def of_step(value: Column) -> Column:
+        return F.when(~is_mark & ~is_wait, value)
+
+    seconds = F.col("opening.seconds")
+    wait_text = F.when(seconds == F.floor(seconds), seconds.cast("bigint").cast("string")).otherwise(seconds.cast("string"))
     lambda_col = F.when(before_end("lam"), F.col("lam._lambda"))
     resource_col = F.col("res.resource")
-    opening = F.when(
-        F.col("type") == "MapStateEntered",
-        F.when(
-            _is_object("input"),
-            F.concat(F.lit("Map State: Processing "), fanout_entering("input"), F.lit(" job(s)")),
-        ).otherwise("Map State: Processing multiple items"),
-    ).otherwise(F.concat(F.lit("State: "), "state_name"))
+    started = F.when(
+        F.col("opening.type") == "MapStateEntered",
+        F.when(F.col("opening.jobs").isNotNull(), F.format_string(MAP_TEXT, "opening.jobs")).otherwise(MAP_LIST_TEXT),
+    ).otherwise(F.concat(F.lit(STATE_TEXT), "state_name"))
     ended_well = F.col("term.type") == "TaskSucceeded"
-    return opened.join(facts, [ARN, "state_name"], "left").select(
-        ARN,
-        "state_name",
-        _display("state_name", names).alias("step"),
-        F.when(F.col("done").isNotNull() | ended_well, "SUCCEEDED")
-        .when(running, "RUNNING")
-        .otherwise("FAILED")
-        .alias("status"),
-        "first_id",
-        "entered_at",
-        F.when(before_end("start"), F.col("start.ts")).alias("started_at"),
-        F.when(F.col("done").isNotNull(), F.col("done.ts")).otherwise(F.col("term.ts")).alias(
-            "completed_at"
-        ),
-        lambda_col.alias("lambda"),
-        resource_col.alias("resource"),
-        F.coalesce("out.output", F.when(ended_well, F.col("term.output"))).alias("output"),
-        F.col("term.error").alias("error"),
-        F.col("term.cause").alias("cause"),
-        F.when(lambda_col.isNotNull(), F.concat(F.lit("Lambda: "), lambda_col))
-        .when(resource_col.isNotNull(), F.concat(F.lit("Resource: "), resource_col))
-        .otherwise(opening)
-        .alias("details"),
+    done = F.col("done").isNotNull()
+    event = F.col("execution.type")
+    failed = event == "ExecutionFailed"
+    return (
+        combined.where(is_mark | F.col("opening").isNotNull())
+        .withColumn("order", F.when(is_mark, F.when(event == "ExecutionStarted", 0).otherwise(LAST_ORDER)).otherwise(number))
+        .select(
+            ARN,
+            "state_name",
+            F.when(is_mark, _execution_step(event))
+            .when(is_wait, F.format_string(WAIT_STEP, wait_text))
+            .otherwise(_display("state_name", names))
+            .alias("step"),
+            F.when(is_mark, F.when(failed, "FAILED").otherwise("SUCCEEDED"))
+            .when(is_wait, F.when(gone, "SUCCEEDED").otherwise("RUNNING"))
+            .when(done | ended_well, "SUCCEEDED")
+            .when(running, "RUNNING")
+            .otherwise("FAILED")
+            .alias("status"),
+            F.coalesce("execution.id", "opening.id").alias("first_id"),
+            F.when(is_mark, F.col("execution.ts")).otherwise(F.col("opening.ts")).alias("entered_at"),
+            of_step(F.when(before_end("start"), F.col("start.ts"))).alias("started_at"),
+            F.when(is_wait, F.when(gone, F.col("left.ts")))
+            .when(~is_mark, F.when(done, F.col("done.ts")).otherwise(F.col("term.ts")))
+            .alias("completed_at"),
+            of_step(lambda_col).alias("lambda"),
+            of_step(resource_col).alias("resource"),
+            of_step(F.coalesce("out.output", F.when(ended_well, F.col("term.output")))).alias("output"),
+            F.when(is_mark, F.when(failed, F.coalesce("execution.error", F.lit(UNKNOWN_ERROR))))
+            .when(~is_wait, F.col("term.error"))
+            .alias("error"),
+            F.when(is_mark, F.when(failed, F.coalesce("execution.cause", F.lit(""))))
+            .when(~is_wait, F.col("term.cause"))
+            .alias("cause"),
+            F.when(is_wait, F.format_string(WAIT_DETAILS, wait_text))
+            .when(~is_mark, F.when(lambda_col.isNotNull(), F.concat(F.lit(LAMBDA_TEXT), lambda_col))
+                  .when(resource_col.isNotNull(), F.concat(F.lit(RESOURCE_TEXT), resource_col))
+                  .otherwise(started))
+            .alias("details"),
+            "order",
+            (~is_mark & ~is_wait).alias("_is_state"),
+        )
     )
 
 
+def state_steps(
+    history: DataFrame,
+    map_state: str = MAP_STATE,
+    names: Mapping[str, str] = STATE_NAMES,
+    segment_size: int = SEGMENT_SIZE,
+) -> DataFrame:
+    """One row per execution and visited task or map state.
+
+    status: SUCCEEDED after any overwriting success, else by the first terminal
+    event, else RUNNING. completed_at: the last overwriting success, else the
+    first terminal event. started_at, lambda and resource come from before the
+    first terminal event; error and cause from that event.
+    """
+    return _timeline(history, map_state, names, segment_size).where("_is_state").drop("_is_state", "order")
+
+
 def _fact_columns() -> list:
-    failed = _is(*FAILED)
+    failed = _is(*FAILED, "ExecutionFailed")
     return [
         "id",
         "type",
@@ -254,7 +362,7 @@ def _fact_columns() -> list:
     ]
 
 
-def _at(condition: Column, *fields: str) -> Column:
+def _at(condition: Column, *fields: str | Column) -> Column:
     return F.when(condition, F.struct("id", *fields))
 
 
@@ -333,6 +441,11 @@ def wait_spans(history: DataFrame) -> DataFrame:
     )
 
 
+def _execution_step(kind: Column) -> Column:
+    started, done, failed = EXECUTION_STEPS
+    return F.when(kind == "ExecutionStarted", started).when(kind == "ExecutionFailed", failed).otherwise(done)
+
+
 def terminal_rows(history: DataFrame) -> DataFrame:
     """Execution-level rows: started, completed, failed with error and cause."""
     kind = F.col("type")
@@ -340,10 +453,7 @@ def terminal_rows(history: DataFrame) -> DataFrame:
     return history.where(_is("ExecutionStarted", "ExecutionSucceeded", "ExecutionFailed")).select(
         ARN,
         F.col("id").alias("first_id"),
-        F.when(kind == "ExecutionStarted", "Execution Started")
-        .when(failed, "Execution Failed")
-        .otherwise("Execution Completed")
-        .alias("step"),
+        _execution_step(kind).alias("step"),
         F.when(failed, "FAILED").otherwise("SUCCEEDED").alias("status"),
         F.col("ts").alias("entered_at"),
         F.when(failed, F.coalesce("error", F.lit(UNKNOWN_ERROR))).alias("error"),
@@ -395,23 +505,10 @@ def steps(
     segment_size: int = SEGMENT_SIZE,
 ) -> DataFrame:
     """The whole timeline: execution rows, task, map and wait steps with order and duration."""
-    visits = first_visit(history)
-    waits = wait_spans(history)
-    whole = F.col("seconds") == F.floor("seconds")
-    wait_text = F.when(whole, F.col("seconds").cast("bigint").cast("string")).otherwise(
-        F.col("seconds").cast("string")
-    )
-    wait_rows = waits.select(
-        "*",
-        F.concat(F.lit("Wait "), wait_text, F.lit("s")).alias("step"),
-        F.concat(F.lit("Waiting "), wait_text, F.lit(" seconds")).alias("details"),
-    ).drop("seconds")
-    state_rows = state_steps(history, visits, map_state, names, segment_size).unionByName(
-        wait_rows, allowMissingColumns=True
-    )
-    ordered = state_rows.join(step_orders(history, visits, segment_size), [ARN, "state_name"], "left")
-    return ordered.unionByName(terminal_rows(history), allowMissingColumns=True).withColumn(
-        "duration", step_duration("entered_at", "started_at", "completed_at")
+    return (
+        _timeline(history, map_state, names, segment_size)
+        .drop("_is_state")
+        .withColumn("duration", step_duration("entered_at", "started_at", "completed_at"))
     )
 
 
@@ -473,12 +570,18 @@ def iteration_progress(iterations: DataFrame) -> DataFrame:
     )
 
 
-def _display(state: str, names: Mapping[str, str]) -> Column:
+def _is_map(state: Column, map_state: str, names: Mapping[str, str]) -> Column:
+    """Whether map results may belong to the task or map state: it has that name or is shown as a map."""
+    return (state == map_state) | has(_display(state, names), "Map")
+
+
+def _display(state: str | Column, names: Mapping[str, str]) -> Column:
     """Display name of a state, the raw name where none is known."""
+    state = F.col(state) if isinstance(state, str) else state
     if not names:
-        return F.col(state)
+        return state
     table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, F.col(state)), F.col(state))
+    return F.coalesce(F.try_element_at(table, state), state)
 
 
 def name_states(df: DataFrame, names: Mapping[str, str] = STATE_NAMES) -> DataFrame:

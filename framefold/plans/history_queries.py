@@ -8,17 +8,19 @@ from framefold.constants import STATE_NAMES
 from framefold.operators import history as H
 from framefold.plans import views as V
 from framefold.plans.registry import query
-from framefold.session import scratch_dir
-from framefold.sources.executions import land_history, scan_executions, scan_history
+from framefold.sources.executions import scan_executions, scan_history
+
+#: Event ids are spread over all executions, so an execution has a handful of events in such a segment.
+SMALL_SEGMENT = 1000
 
 
 def _history(spark, sf):
     return V.history(spark, sf)
 
 
-def _landed(spark, sf):
-    """Raw event documents parsed once into a flat table, as a timeline needs it."""
-    return land_history(scan_history(V.raw_history(spark, sf)), scratch_dir(spark, "history"))
+def _parsed(spark, sf):
+    """Raw event documents as flat events; a timeline reads them once."""
+    return scan_history(V.raw_history(spark, sf))
 
 
 def _ms(c: str, name: str | None = None):
@@ -139,8 +141,16 @@ def _(spark, sf):
 
 
 @query(
-    "steps",
-    f"""WITH {_STEPS}, {_ORDERS}, {_WAITS}
+    "attribute_events_segmented",
+    f"""WITH {V.SQL_HIST}, {_CURRENT} SELECT execution_arn, id, type, nullif(state_name, '') AS state_name FROM cur""",
+)
+def _(spark, sf):
+    """The same with segments of a few events, so that most states are carried over."""
+    events = H.attribute_events(_history(spark, sf), SMALL_SEGMENT)
+    return events.select("execution_arn", "id", "type", "state_name")
+
+
+_ALL_STEPS = f"""WITH {_STEPS}, {_ORDERS}, {_WAITS}
         SELECT execution_arn, state_name, {_NAME} AS step, status, entered_ms, started_ms, completed_ms, lambda_name,
                resource, output, error, cause, step_order,
                CASE WHEN lambda_name IS NOT NULL THEN 'Lambda: ' || lambda_name
@@ -156,10 +166,10 @@ def _(spark, sf):
         SELECT execution_arn, NULL, CASE type WHEN 'ExecutionStarted' THEN 'Execution Started' ELSE 'Execution Failed' END,
                CASE type WHEN 'ExecutionStarted' THEN 'SUCCEEDED' ELSE 'FAILED' END, ms, NULL, NULL, NULL, NULL, NULL,
                error, cause, CASE type WHEN 'ExecutionStarted' THEN 0 ELSE 9999 END, NULL
-        FROM hist WHERE type IN ('ExecutionStarted', 'ExecutionFailed')""",
-)
-def _(spark, sf):
-    rows = H.steps(_landed(spark, sf))
+        FROM hist WHERE type IN ('ExecutionStarted', 'ExecutionFailed')"""
+
+
+def _step_rows(rows):
     return rows.select(
         "execution_arn", "state_name", "step", "status", _ms("entered_at", "entered_ms"),
         _ms("started_at", "started_ms"), _ms("completed_at", "completed_ms"),
@@ -168,13 +178,24 @@ def _(spark, sf):
     )
 
 
+@query("steps", _ALL_STEPS)
+def _(spark, sf):
+    return _step_rows(H.steps(_parsed(spark, sf)))
+
+
+@query("steps_segmented", _ALL_STEPS)
+def _(spark, sf):
+    """The same from segments of a few events, whose summaries are combined."""
+    return _step_rows(H.steps(_parsed(spark, sf), segment_size=SMALL_SEGMENT))
+
+
 @query(
     "step_duration",
     f"""WITH {_STEPS} SELECT execution_arn, state_name,
           coalesce(completed_ms - entered_ms, completed_ms - started_ms) / 1000.0::DOUBLE AS duration FROM state_rows""",
 )
 def _(spark, sf):
-    rows = H.steps(_landed(spark, sf)).where("state_name is not null and step not like 'Wait%'")
+    rows = H.steps(_parsed(spark, sf)).where("state_name is not null and step not like 'Wait%'")
     return rows.select("execution_arn", "state_name", "duration")
 
 

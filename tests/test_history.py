@@ -155,7 +155,7 @@ def landed(spark, histories):
     return scan_history(spark.createDataFrame(rows, "execution_arn string, body string")).cache()
 
 
-@pytest.mark.parametrize("segment_size", [7, 65536])
+@pytest.mark.parametrize("segment_size", [1, 3, 7, 65536])
 def test_steps_match_fold(landed, histories, segment_size):
     got = {}
     rows = H.steps(landed, segment_size=segment_size).where("state_name is not null").collect()
