@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framefold.operators.ranking import top_k
 
+_KEEP_NULLS = {"ignoreNullFields": "false"}
+
 
 def label_counts(detections: DataFrame, video: str, pos: str) -> DataFrame:
     """Detections per video; a video whose only row has no position counts zero."""
@@ -49,27 +51,52 @@ def summarize(
     return _with_top(counted, top_labels(detections, video, order, k), video)
 
 
-def summarize_pages(pages: DataFrame, video: str, page: str, k: int = 10) -> DataFrame:
-    """``summarize`` straight from parsed response pages.
+def reduce_pages(pages: DataFrame, keep: Sequence[str], k: int = 10, texts: bool = False) -> DataFrame:
+    """What a summary needs of each response page: ``duration, flagged, n_labels, best``.
 
-    Each page is reduced to its count and its own k best labels before anything
-    is shuffled, so the shuffles grow with pages, not with detections.
+    ``best`` holds the page's k most confident labels with their place. With ``texts`` the page's labels and
+    moderation labels follow as JSON texts without the outer brackets, for ``analysis_parts``. Land the result
+    where it is used twice: one parse then serves summaries and documents, and a summary reads only its few columns.
     """
-    counted = pages.groupBy(video).agg(
-        F.sum(F.array_size("labels")).alias("total_labels"), *_page_facts()
+    ranked = F.slice(F.array_sort(F.transform("labels", _placed)), 1, k)
+    best = F.transform(
+        ranked, lambda x: F.struct(x["pos"].alias("pos"), x["name"].alias("name"), (-x["down"]).alias("confidence"))
     )
-    placed = F.transform("labels", _placed)
-    ranked = F.slice(F.array_sort(placed), 1, k)
-    best = pages.select(video, page, F.explode(ranked).alias("_l")).select(
-        video,
-        page,
-        F.col("_l.pos").alias("pos"),
-        F.col("_l.name").alias("name"),
-        (-F.col("_l.down")).alias("confidence"),
+    return pages.select(
+        *keep,
+        "duration",
+        (F.array_size("moderation_labels") > 0).alias("flagged"),
+        F.array_size("labels").cast("bigint").alias("n_labels"),
+        best.alias("best"),
+        *([_inner_json("labels"), _inner_json("moderation_labels")] if texts else []),
     )
+
+
+def _inner_json(column: str) -> Column:
+    text = F.to_json(column, _KEEP_NULLS)
+    return F.substring(text, F.lit(2), F.length(text) - 2).alias(column)
+
+
+def summarize_reduced(reduced: DataFrame, video: str, page: str, k: int = 10) -> DataFrame:
+    """``summarize`` of reduced pages; videos without a label have a count of 0 and no top labels.
+
+    The shuffles grow with pages, not with detections: counts and flags are summed before them, and k rows per
+    video and partition are ranked after them.
+    """
+    counted = reduced.groupBy(video).agg(
+        F.sum("n_labels").alias("total_labels"),
+        F.max("duration").alias("duration"),
+        F.coalesce(F.bool_or("flagged"), F.lit(False)).alias("has_moderation_issues"),
+    )
+    best = reduced.select(video, page, F.inline("best"))
     return _with_top(counted, top_labels(best, video, [page, "pos"], k), video)
 
 
+def summarize_pages(pages: DataFrame, video: str, page: str, k: int = 10) -> DataFrame:
+    """``summarize`` straight from parsed response pages."""
+    return summarize_reduced(reduce_pages(pages, [video, page], k), video, page, k)
+
+
 def _placed(label, i):
     """Struct that sorts by confidence descending, then response position."""
     return F.struct(
@@ -130,14 +157,39 @@ def _by_position(a, b):
     return F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
 
 
-def analyses(
-    pages: DataFrame, summaries: DataFrame, video: str, page: str, keep: Sequence[str] = ()
+def analysis_parts(
+    reduced: DataFrame, summaries: DataFrame, video: str, page: str, name: str = "video_s3_key"
 ) -> DataFrame:
-    """Analysis documents: one per video and response page.
+    """The texts that make up one JSON document per video, one after the other: ``video, section, text``.
 
-    A video answered in one page, the usual case, gives exactly one document.
-    The page's label array is used as parsed: nothing is regrouped.
+    A document holds the video's key under ``name``, duration, all labels and moderation labels in response order,
+    and the summary. ``reduced`` are pages of ``reduce_pages`` with texts. Each page gives two texts, and the frame
+    three; they are shuffled to the video's partition and sorted there, on disk where they are many. So no document
+    is ever held as a whole, whatever the number of its labels. ``write_analysis`` writes them.
     """
+    key = F.to_json(F.struct(F.col(video).alias(name), "duration"), _KEEP_NULLS)
     summary = F.struct("total_labels", "top_labels", "duration", "has_moderation_issues")
-    facts = summaries.select(video, "duration", summary.alias("summary"))
-    return pages.select(video, *keep, page, "labels", "moderation_labels").join(facts, video)
+
+    def text(section: int, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), value.alias("text"))
+
+    head = F.concat(F.substring(key, F.lit(1), F.length(key) - 1), F.lit(',"labels":['))
+    tail = F.concat(F.lit('],"summary":'), F.to_json(summary, _KEEP_NULLS), F.lit("}\n"))
+    page_type = reduced.schema[page].dataType
+    frame = summaries.select(
+        video,
+        F.lit(None).cast(page_type).alias(page),
+        F.inline(F.array(text(0, head), text(2, F.lit('],"moderation_labels":[')), text(4, tail))),
+    )
+    body = reduced.select(
+        video, page, F.inline(F.array(text(1, F.col("labels")), text(3, F.col("moderation_labels"))))
+    ).where("text <> ''")
+    nth = F.row_number().over(Window.partitionBy(video, "section").orderBy(page))
+    follows = (F.col("section") % 2 == 1) & (F.col("_nth") > 1)
+    return (
+        frame.unionByName(body)
+        .repartition(video)
+        .withColumn("_nth", nth)
+        .sortWithinPartitions(video, "section", page)
+        .select(video, "section", F.when(follows, F.concat(F.lit(","), "text")).otherwise(F.col("text")).alias("text"))
+    )

@@ -12,7 +12,7 @@ from framefold.constants import BATCH_TS_FORMAT
 from framefold.functions.keys import processed_key, raw_key, record_id
 from framefold.functions.text import default_if_empty
 from framefold.operators.aggregates import batch_result, outcome_counts
-from framefold.operators.detections import analyses, summarize_pages
+from framefold.operators.detections import analysis_parts, reduce_pages, summarize_reduced
 from framefold.operators.gates import rejects, require
 from framefold.operators.joins import drop_indexed, join_responses, match_jobs
 from framefold.operators.ranking import per_source_quota
@@ -58,7 +58,10 @@ def with_object_sizes(assets: DataFrame, objects: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class BatchResult:
-    """``envelopes`` and ``counts`` have one row per campaign; every asset is in ``index`` or in ``rejects``."""
+    """``envelopes`` and ``counts`` have one row per campaign; every asset is in ``index`` or in ``rejects``.
+
+    ``analyses`` holds the texts of one document per video, for ``write_analysis``.
+    """
 
     assets: DataFrame
     analyses: DataFrame
@@ -114,11 +117,12 @@ def finish(
         started, pages = store("jobs", started), store("pages", pages)
     answered, unanswered = join_responses(started, pages)
     done, failed = gate_succeeded(answered)
-    summaries = summarize_pages(done, "job_id", "page")
-    documents = analyses(done, summaries, "job_id", "page", ["s3_key"]).withColumnRenamed(
-        "s3_key", "video_s3_key"
-    )
-    indexed = stored.join(started.drop("campaign").join(summaries, "job_id"), "s3_key").select(
+    reduced = reduce_pages(done, ["s3_key", "page"], texts=True)
+    if store is not None:
+        reduced = store("reduced", reduced)
+    summaries = summarize_reduced(reduced, "s3_key", "page")
+    documents = analysis_parts(reduced, summaries, "s3_key", "page")
+    indexed = stored.join(summaries, "s3_key").select(
         record_id(F.lit(media_type), "campaign", "ingested_at").alias("id"),
         F.lit(media_type).alias("media_type"),
         "campaign",

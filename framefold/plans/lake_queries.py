@@ -11,7 +11,7 @@ from framefold.functions.times import event_time
 from framefold.operators import aggregates as A
 from framefold.operators import joins as J
 from framefold.operators import ranking as R
-from framefold.operators.detections import analyses, summarize_pages
+from framefold.operators.detections import analysis_parts, reduce_pages, summarize_reduced
 from framefold.operators.sets import campaign_catalogue
 from framefold.plans import views as V
 from framefold.plans.batch import run_batch
@@ -265,27 +265,43 @@ def _(spark, sf):
 @query(
     "write_analysis",
     f"""WITH {V.SQL_PAGES}, p AS (
-          SELECT job_id, count(*) AS pages, CAST(sum(2) AS BIGINT) AS labels, max(duration) AS duration,
-                 bool_or(flagged) AS flagged FROM pages_in WHERE status = 'SUCCEEDED' GROUP BY 1)
-        SELECT job_id, pages, labels, labels AS total_labels, duration, flagged FROM p""",
+          SELECT job_id, max(duration) AS duration, bool_or(flagged) AS flagged, count(*) FILTER (flagged) AS moderation
+          FROM pages_in WHERE status = 'SUCCEEDED' GROUP BY 1),
+        l AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY p1, p2, p3, p4, pos) AS place FROM labels_in),
+        c AS (SELECT job_id, count(*) AS total_labels FROM l GROUP BY 1),
+        t AS (SELECT job_id, string_agg(name || ' ' || CAST(round(confidence) AS BIGINT), ',' ORDER BY rank) AS top
+              FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY confidence DESC, place) AS rank FROM l)
+              WHERE rank <= 10 GROUP BY 1)
+        SELECT job_id, place, name, confidence, "timestamp", n_instances, coalesce(total_labels, 0) AS total_labels,
+               duration, flagged, moderation, coalesce(top, '') AS top
+        FROM p LEFT JOIN l USING (job_id) LEFT JOIN c USING (job_id) LEFT JOIN t USING (job_id)""",
 )
 def _(spark, sf):
-    """Analysis documents written as JSON lines and read back."""
+    """Analysis documents, one per video and line, written from one parse and read back with all their labels."""
     root = scratch_dir(spark, "analysis")
     path = f"{root}/documents"
-    pages = land_pages(parse_responses(V.response_pages(spark, sf)), f"{root}/pages")
-    ok, _ = gate_succeeded(pages)
-    write_analysis(analyses(ok, summarize_pages(ok, "job_id", "page"), "job_id", "page"), path)
+    ok, _ = gate_succeeded(parse_responses(V.response_pages(spark, sf)))
+    reduced = land_pages(reduce_pages(ok, ["job_id", "page"], texts=True), f"{root}/pages")
+    write_analysis(analysis_parts(reduced, summarize_reduced(reduced, "job_id", "page"), "job_id", "page"), path)
     back = spark.read.schema(
-        "job_id bigint, labels array<struct<name:string>>, duration double, "
-        "summary struct<total_labels:bigint,has_moderation_issues:boolean>"
+        "video_s3_key bigint, duration double, moderation_labels array<struct<Name:string>>, "
+        "labels array<struct<name:string,confidence:double,timestamp:double,instances:array<struct<Top:int>>>>, "
+        "summary struct<total_labels:bigint,top_labels:array<struct<name:string,confidence:double>>,"
+        "duration:double,has_moderation_issues:boolean>"
     ).json(path)
-    return back.groupBy("job_id").agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.sum(F.array_size("labels")).alias("labels"),
-        F.max("summary.total_labels").alias("total_labels"),
-        F.max("duration").alias("duration"),
-        F.bool_or("summary.has_moderation_issues").alias("flagged"),
+    best = F.transform("summary.top_labels", lambda x: F.concat_ws(" ", x["name"], F.round(x["confidence"]).cast("bigint")))
+    return back.select("*", F.posexplode_outer("labels").alias("at", "label")).select(
+        F.col("video_s3_key").alias("job_id"),
+        (F.col("at") + 1).cast("bigint").alias("place"),
+        "label.name",
+        "label.confidence",
+        "label.timestamp",
+        F.array_size("label.instances").alias("n_instances"),
+        "summary.total_labels",
+        "summary.duration",
+        F.col("summary.has_moderation_issues").alias("flagged"),
+        F.array_size("moderation_labels").cast("bigint").alias("moderation"),
+        F.array_join(best, ",").alias("top"),
     )
 
 

@@ -22,6 +22,7 @@ from framefold.sources.detections import (
     gate_flags,
     gate_succeeded,
     land_pages,
+    parse_label_facts,
     parse_responses,
     parse_status,
     scan_detections,
@@ -141,7 +142,7 @@ def _(spark, sf):
     f"""WITH {V.SQL_PAGES} SELECT job_id, p1, p2, p3, p4, pos, name, confidence, "timestamp", n_instances
         FROM labels_in
         UNION ALL
-        SELECT job_id, p1, p2, p3, p4, NULL, NULL, NULL, NULL, NULL FROM pages_in WHERE status <> 'SUCCEEDED'""",
+        SELECT job_id, p1, p2, p3, p4, NULL, NULL, NULL, NULL, NULL FROM pages_in WHERE NOT has_labels""",
 )
 def _(spark, sf):
     det = scan_detections(parse_responses(V.response_pages(spark, sf)), ["job_id", "page"])
@@ -202,8 +203,8 @@ _SUMMARY_SQL = f"""WITH {V.SQL_PAGES}, counts AS (
   top AS (SELECT job_id, name, confidence,
             row_number() OVER (PARTITION BY job_id ORDER BY confidence DESC, p1, p2, p3, p4, pos) AS rank
           FROM labels_in QUALIFY rank <= 10)
-  SELECT job_id, total_labels, duration, has_moderation_issues, rank, name, confidence
-  FROM pages JOIN counts USING (job_id) JOIN top USING (job_id)"""
+  SELECT job_id, coalesce(total_labels, 0) AS total_labels, duration, has_moderation_issues, rank, name, confidence
+  FROM pages LEFT JOIN counts USING (job_id) LEFT JOIN top USING (job_id)"""
 
 
 def _flat_summary(summary):
@@ -212,7 +213,7 @@ def _flat_summary(summary):
         "total_labels",
         "duration",
         "has_moderation_issues",
-        F.posexplode("top_labels").alias("rank", "label"),
+        F.posexplode_outer("top_labels").alias("rank", "label"),
     ).select(
         "job_id",
         "total_labels",
@@ -231,8 +232,10 @@ def _landed(spark, sf):
 
 @query("video_summary", _SUMMARY_SQL)
 def _(spark, sf):
-    ok, _ = gate_succeeded(_landed(spark, sf))
-    return _flat_summary(D.summarize_pages(ok, "job_id", "page"))
+    """From reduced pages: only counts, best labels, duration and flag of a page are kept."""
+    ok, _ = gate_succeeded(parse_label_facts(V.response_pages(spark, sf)))
+    reduced = land_pages(D.reduce_pages(ok, ["job_id", "page"]), scratch_dir(spark, "reduced"))
+    return _flat_summary(D.summarize_reduced(reduced, "job_id", "page"))
 
 
 @query("video_summary_long", _SUMMARY_SQL)

@@ -56,7 +56,7 @@ SQL_DET = """det AS (
 
 
 def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw detection responses: one page of two labels per order line."""
+    """Raw detection responses: one page of two labels, or of none, per order line."""
 
     def label(ms: Column, name: str, confidence: Column, flagged: Column) -> Column:
         boxes = F.when(flagged, F.array(F.struct(F.lit(1).alias("Top"))))
@@ -77,7 +77,7 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_tax") > 0.07, "no media").alias("StatusMessage"),
         F.struct((F.col("l_suppkey") * 10).alias("DurationMillis")).alias("VideoMetadata"),
         F.when(
-            ~failed,
+            ~failed & (F.col("l_tax") > 0),
             F.array(
                 label(ms, "l_returnflag", F.col("l_quantity") * 2, F.col("l_quantity") > 25),
                 label(ms + 500, "l_linestatus", F.col("l_discount") * 1000, F.lit(False)),
@@ -106,18 +106,18 @@ SQL_PAGES = """pages_in AS (
          CASE WHEN l_tax > 0.06 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
          CASE WHEN l_tax > 0.07 THEN 'no media' END AS message,
          nullif(l_suppkey * 10, 0) / 1000.0::DOUBLE AS duration,
-         l_returnflag = 'R' AS flagged,
+         l_returnflag = 'R' AS flagged, l_tax > 0 AND l_tax <= 0.06 AS has_labels,
          CAST((l_linenumber - 1) * 1000 AS BIGINT) AS ms
   FROM lineitem),
 labels_in AS (
   SELECT job_id, p1, p2, p3, p4, status, 0 AS pos, l_returnflag AS name,
          l_quantity * 2 AS confidence, nullif(ms, 0) / 1000.0::DOUBLE AS "timestamp",
          CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS n_instances
-  FROM pages_in WHERE status = 'SUCCEEDED'
+  FROM pages_in WHERE has_labels
   UNION ALL
   SELECT job_id, p1, p2, p3, p4, status, 1, l_linestatus, l_discount * 1000,
          (ms + 500) / 1000.0::DOUBLE, 0
-  FROM pages_in WHERE status = 'SUCCEEDED')"""
+  FROM pages_in WHERE has_labels)"""
 
 
 # --- candidates, keys, index ------------------------------------------------

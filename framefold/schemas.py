@@ -23,6 +23,15 @@ Labels array<struct<Timestamp: bigint,
 ModerationLabels array<variant>
 """
 
+# What a summary needs of a response: the parser skips times and instances.
+DETECTION_FACTS = """
+JobStatus string,
+StatusMessage string,
+VideoMetadata struct<DurationMillis: bigint>,
+Labels array<struct<Label: struct<Name: string, Confidence: double>>>,
+ModerationLabels array<variant>
+"""
+
 CANDIDATE = """
 source string, source_id string, title string, url string, size bigint, mime string,
 author string, license string, description string, duration double

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +19,31 @@ def parse_responses(raw: DataFrame, body: str = "body") -> DataFrame:
     ``labels`` is the page's normalised label array; a page without labels keeps
     an empty array, so its job is not lost.
     """
+    return _parsed(raw, body, schemas.DETECTION_BODY, normalized_label, _no_labels())
+
+
+def parse_label_facts(raw: DataFrame, body: str = "body") -> DataFrame:
+    """The same with labels of name and confidence only, as summaries need them."""
+
+    def label(r: Column) -> Column:
+        return F.struct(_name(r).alias("name"), _confidence(r).alias("confidence"))
+
+    none = F.array().cast("array<struct<name:string,confidence:double>>")
+    return _parsed(raw, body, schemas.DETECTION_FACTS, label, none)
+
+
+def _parsed(
+    raw: DataFrame, body: str, ddl: str, label: Callable[[Column], Column], no_labels: Column
+) -> DataFrame:
     keep = [c for c in raw.columns if c != body]
     r = F.col("_r")
     none = F.array().cast("array<variant>")
-    return parse_once(raw, body, schemas.DETECTION_BODY, "_r").select(
+    return parse_once(raw, body, ddl, "_r").select(
         *keep,
         r["JobStatus"].alias("status"),
         r["StatusMessage"].alias("message"),
         ms_to_sec(r["VideoMetadata"]["DurationMillis"]).alias("duration"),
-        F.coalesce(F.transform(r["Labels"], normalized_label), _no_labels()).alias("labels"),
+        F.coalesce(F.transform(r["Labels"], label), no_labels).alias("labels"),
         F.coalesce(r["ModerationLabels"], none).alias("moderation_labels"),
     )
 
@@ -59,15 +75,22 @@ def land_pages(pages: DataFrame, path: str) -> DataFrame:
 
 def normalized_label(raw: Column) -> Column:
     """name '' / confidence 0 / timestamp in seconds or NULL / instances [] by default."""
-    label = raw["Label"]
     return F.struct(
-        F.coalesce(label["Name"], F.lit("")).alias("name"),
-        F.coalesce(label["Confidence"], F.lit(0.0)).alias("confidence"),
+        _name(raw).alias("name"),
+        _confidence(raw).alias("confidence"),
         ms_to_sec(raw["Timestamp"]).alias("timestamp"),
-        F.coalesce(label["Instances"], F.array().cast("array<variant>")).alias("instances"),
+        F.coalesce(raw["Label"]["Instances"], F.array().cast("array<variant>")).alias("instances"),
     )
 
 
+def _name(raw: Column) -> Column:
+    return F.coalesce(raw["Label"]["Name"], F.lit(""))
+
+
+def _confidence(raw: Column) -> Column:
+    return F.coalesce(raw["Label"]["Confidence"], F.lit(0.0))
+
+
 def _no_labels() -> Column:
     return F.array().cast(
         "array<struct<name:string,confidence:double,timestamp:double,instances:array<variant>>>"

@@ -18,9 +18,13 @@ def write_assets(assets: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def write_analysis(analyses: DataFrame, path: str, mode: str = "append") -> None:
-    """One JSON document per line, NULL fields written."""
-    analyses.write.mode(mode).option("ignoreNullFields", "false").json(path)
+def write_analysis(parts: DataFrame, path: str, mode: str = "append") -> None:
+    """One JSON document per video and line, from its texts in order (``analysis_parts``).
+
+    The texts are written as they come, set apart by a blank, which JSON allows between its tokens; the last text of a
+    document ends its line. No document is put together in memory. NULL fields are written.
+    """
+    parts.select("text").write.mode(mode).option("lineSep", " ").text(path)
 
 
 def notifications(df: DataFrame, prefix: str = SUBJECT_PREFIX) -> DataFrame:

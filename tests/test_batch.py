@@ -50,8 +50,10 @@ def test_two_batches_second_is_all_duplicates(spark, tmp_path):
     }
     rejected = {(r.stage, r.reason) for r in first.rejects.collect()}
     assert rejected == {("finalize", "Job failed"), ("finalize", "no response")}
-    docs = {r.video_s3_key: r for r in first.analyses.collect()}
+    texts = "".join(r.text for r in first.analyses.coalesce(1).collect())
+    docs = {d["video_s3_key"]: d for d in map(json.loads, texts.splitlines())}
     assert len(docs) == 2 and all("media-raw" in k for k in docs)
+    assert sorted(len(d["labels"]) for d in docs.values()) == [0, 1]
     I.append_index(first.index, path)
     stored = {r.source_id: r for r in I.read_index(spark, path).collect()}
     assert set(stored) == {"File:Clip 0.mp4", "1"}

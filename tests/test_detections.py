@@ -3,9 +3,16 @@ import random
 
 from pyspark.sql import functions as F
 
-from framefold.operators.detections import analyses, label_array, summarize, summarize_pages
+from framefold.operators.detections import (
+    analysis_parts,
+    label_array,
+    reduce_pages,
+    summarize,
+    summarize_pages,
+    summarize_reduced,
+)
 from framefold.operators.ranking import top_k
-from framefold.sources.detections import gate_succeeded, parse_responses, scan_detections
+from framefold.sources.detections import gate_succeeded, parse_label_facts, parse_responses, scan_detections
 from framefold.sources.sinks import write_analysis
 
 
@@ -21,6 +28,11 @@ def lab(name, conf, ms, instances=None):
     return {"Timestamp": ms, "Label": label}
 
 
+def documents_at(path):
+    lines = [line for file in path.glob("part-*") for line in file.read_text().splitlines()]
+    return [json.loads(line) for line in lines if line.strip()]
+
+
 TWO = {
     "JobStatus": "SUCCEEDED",
     "VideoMetadata": {"DurationMillis": 10000},
@@ -70,26 +82,58 @@ def test_parse_summarize_and_documents(spark, tmp_path):
     assert got["many"].has_moderation_issues is True
     assert (got["none"].total_labels, got["none"].top_labels, got["none"].duration) == (0, [], 4.0)
 
-    docs = analyses(ok, summarize_pages(ok, "job_id", "page"), "job_id", "page")
-    write_analysis(docs, str(tmp_path / "a"))
-    back = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "a")).collect()]
-    two = next(d for d in back if d["job_id"] == "two")
-    assert two["labels"][0] == {
-        "name": "Person",
-        "confidence": 95.5,
-        "timestamp": 5.0,
-        "instances": [{"Confidence": 1.0}],
-    }
-    none = next(d for d in back if d["job_id"] == "none")
-    assert none["labels"] == [] and none["moderation_labels"] == []
-    many = next(d for d in back if d["job_id"] == "many" and d["page"] == 0)
+    facts, _ = gate_succeeded(parse_label_facts(raw))
+    light = summarize_reduced(reduce_pages(facts, ["job_id", "page"]), "job_id", "page").collect()
+    assert sorted(map(str, light)) == sorted(map(str, by_page))
+
+    reduced = reduce_pages(ok, ["job_id", "page"], texts=True)
+    parts = analysis_parts(reduced, summarize_reduced(reduced, "job_id", "page"), "job_id", "page")
+    write_analysis(parts, str(tmp_path / "a"))
+    back = {d["video_s3_key"]: d for d in documents_at(tmp_path / "a")}
+    assert len(back) == 3 == len(documents_at(tmp_path / "a"))
+    two, many, none = back["two"], back["many"], back["none"]
+    assert set(two) == {"video_s3_key", "duration", "labels", "moderation_labels", "summary"}
+    assert two["labels"] == [
+        {"name": "Person", "confidence": 95.5, "timestamp": 5.0, "instances": [{"Confidence": 1.0}]},
+        {"name": "Outdoor", "confidence": 88.2, "timestamp": 3.0, "instances": []},
+    ]
+    assert none["labels"] == [] and none["moderation_labels"] == [] and none["duration"] == 4.0
+    assert none["summary"]["total_labels"] == 0 and none["summary"]["top_labels"] == []
     assert many["duration"] is None and many["summary"]["duration"] is None
+    assert [x["name"] for x in many["labels"]] == [f"L{i}" for i in range(11)] + ["", "Late"]
+    assert many["labels"][0]["timestamp"] is None and many["moderation_labels"] == [{"Name": "x"}]
+    assert many["summary"]["has_moderation_issues"] is True and many["summary"]["total_labels"] == 13
+    lines = {r.video_s3_key for r in spark.read.json(str(tmp_path / "a")).collect()}
+    assert lines == {"two", "many", "none"}
 
     arrays = label_array(det, "job_id", "page", ["page", "pos"])
     names = {(r.job_id, r.page): [x.name for x in r.labels] for r in arrays.collect()}
     assert names[("two", 0)] == ["Person", "Outdoor"] and ("none", 0) not in names
 
 
+def test_document_of_a_million_labels(spark, tmp_path):
+    def label(i):
+        return F.struct(
+            F.concat(F.lit("L"), i.cast("string")).alias("name"), (i % 97).cast("double").alias("confidence"),
+            (i / 2).alias("timestamp"), F.array().cast("array<variant>").alias("instances"),
+        )
+
+    pages = spark.range(1000, numPartitions=4).select(
+        F.lit("v").alias("video"), F.col("id").alias("page"), F.lit(9.0).alias("duration"),
+        F.transform(F.sequence(F.col("id") * 1000, F.col("id") * 1000 + 999), label).alias("labels"),
+        F.array().cast("array<variant>").alias("moderation_labels"),
+    )
+    reduced = reduce_pages(pages, ["video", "page"], texts=True)
+    parts = analysis_parts(reduced, summarize_reduced(reduced, "video", "page"), "video", "page")
+    longest = parts.agg(F.max(F.length("text"))).first()[0]
+    assert longest < 100_000  # a page, not a document
+    write_analysis(parts, str(tmp_path / "a"))
+    (doc,) = documents_at(tmp_path / "a")
+    assert [x["name"] for x in doc["labels"]] == [f"L{i}" for i in range(1_000_000)]
+    assert doc["summary"]["total_labels"] == 1_000_000
+    assert [x["name"] for x in doc["summary"]["top_labels"]] == [f"L{96 + 97 * i}" for i in range(10)]
+
+
 def test_top_k_matches_stable_sort(spark):
     rng = random.Random(7)
     rows = [(f"v{rng.randrange(4)}", i, float(rng.randrange(5)), f"n{rng.randrange(3)}") for i in range(400)]
