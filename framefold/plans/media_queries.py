@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from framefold.functions import documents as DOC
@@ -18,6 +20,7 @@ from framefold.plans.batch import to_assets
 from framefold.plans.registry import query
 from framefold.session import scratch_dir
 from framefold.sources import catalogues as C
+from framefold.sources import id_table
 from framefold.sources.detections import (
     gate_flags,
     gate_succeeded,
@@ -463,6 +466,21 @@ def _(spark, sf):
     return J.drop_indexed(left, V.index_rows(spark, sf)).drop("media_type")
 
 
+@query(
+    "drop_known",
+    f"""WITH {V.SQL_CAND}, {V.SQL_INDEX} SELECT campaign, source, source_id, pos FROM cand c
+        WHERE NOT EXISTS (SELECT 1 FROM idx i WHERE i.media_type = c.media_type AND i.campaign = c.campaign
+          AND i.source = c.source AND i.source_id = c.source_id AND c.source_id <> '')""",
+)
+def _(spark, sf):
+    """The same against a stored id table whose buckets the candidates are shuffled to."""
+    name = f"ids_{uuid.uuid4().hex}"
+    id_table.create_id_table(spark, name, scratch_dir(spark, "ids"), 16)
+    id_table.append_ids(V.index_rows(spark, sf), name, buckets=16)
+    left = V.candidates(spark, sf).select("media_type", "campaign", "source", "source_id", "pos")
+    return id_table.drop_known(left, id_table.known_keys(spark, name)).drop("media_type")
+
+
 @query(
     "existing_ids",
     f"WITH {V.SQL_INDEX} SELECT DISTINCT media_type, campaign, source, source_id FROM idx WHERE source_id <> ''",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from framefold.plans import views as V
 from framefold.plans.registry import query
 from framefold.session import scratch_dir
 from framefold.sources import catalogues as C
+from framefold.sources import id_table as T
 from framefold.sources import index_table as I
 from framefold.streaming import jobs as S
 
@@ -67,7 +70,7 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_dir(spark, "terminal")
     done = S.terminal_jobs(_status_stream(spark, sf))
-    S.publish_view(done, f"{root}/done", f"{root}/checkpoint").awaitTermination()
+    S.publish_view(done, f"{root}/done", f"{root}/checkpoint", ["job_id"]).awaitTermination()
     return S.read_view(spark, f"{root}/done", ["job_id"]).select(
         "job_id", F.unix_millis("ts").alias("first_ms"), "status"
     )
@@ -81,7 +84,7 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_dir(spark, "status")
     view = S.status_view(_status_stream(spark, sf))
-    S.publish_view(view, f"{root}/view", f"{root}/checkpoint").awaitTermination()
+    S.publish_view(view, f"{root}/view", f"{root}/checkpoint", ["job_id"]).awaitTermination()
     return S.read_view(spark, f"{root}/view", ["job_id"]).select(
         "job_id", "status", F.unix_millis("last_ts").alias("last_ms"), "polls"
     )
@@ -116,21 +119,33 @@ def _(spark, sf):
 def _(spark, sf):
     """Jobs reported by event-time timers, each once; the last event time decides which."""
     root = scratch_dir(spark, "stalled")
-    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, rocks)
-    try:
-        polls = _order_polls(_stream(spark, sf, "orders"))
-        polls = polls.withColumn("job_id", F.col("job_id").cast("string"))
-        late = S.stalled_jobs_stream(polls, 86400, "1 day")
-        S.drain(late, f"{root}/late", f"{root}/checkpoint").awaitTermination()
-    finally:
-        spark.conf.set(setting, before)
+    polls = _order_polls(_stream(spark, sf, "orders"))
+    polls = polls.withColumn("job_id", F.col("job_id").cast("string"))
+    late = S.stalled_jobs_stream(polls, 86400, "1 day")
+    S.drain(late, f"{root}/late", f"{root}/checkpoint").awaitTermination()
     late = spark.read.schema("job_id string, first_ts timestamp").parquet(f"{root}/late")
     return late.select("job_id", F.unix_millis("first_ts").alias("first_ms"))
 
 
+@query(
+    "terminal_jobs_stream",
+    """WITH ends AS (
+          SELECT CAST(o_custkey AS VARCHAR) AS job_id, CAST(o_orderdate AS TIMESTAMP) AS ts,
+                 CASE o_orderstatus WHEN 'F' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status
+          FROM orders WHERE o_orderstatus IN ('F', 'O')),
+        firsts AS (SELECT job_id, min(ts) AS ts, arg_min(status, struct_pack(a := ts, b := status)) AS status FROM ends GROUP BY 1)
+        SELECT job_id, status, epoch_ms(ts) AS first_ms FROM firsts
+        WHERE ts <= (SELECT max(CAST(o_orderdate AS TIMESTAMP)) FROM orders) - INTERVAL 1 DAY""",
+)
+def _(spark, sf):
+    """Jobs reported once with their first terminal status, from state that expires."""
+    root = scratch_dir(spark, "ends")
+    polls = _order_polls(_stream(spark, sf, "orders")).withColumn("job_id", F.col("job_id").cast("string"))
+    S.drain(S.terminal_jobs_stream(polls, "1 day"), f"{root}/ends", f"{root}/checkpoint").awaitTermination()
+    ends = spark.read.schema("job_id string, status string, ts timestamp").parquet(f"{root}/ends")
+    return ends.select("job_id", "status", F.unix_millis("ts").alias("first_ms"))
+
+
 @query(
     "stream_drop_indexed",
     f"""WITH {V.SQL_CAND}, {V.SQL_INDEX} SELECT campaign, source, source_id, pos FROM cand c
@@ -146,9 +161,11 @@ def _(spark, sf):
         F.when(F.col("n_chars") % 10 == 0, "").otherwise(F.col("doc_id").cast("string")).alias("source_id"),
         F.col("doc_id").alias("pos"),
     )
-    fresh = S.stream_drop_indexed(docs, V.index_rows(spark, sf))
-    S.drain(fresh, f"{root}/fresh", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema(fresh.schema).parquet(f"{root}/fresh").drop("media_type")
+    ids = f"stream_ids_{uuid.uuid4().hex}"
+    T.create_id_table(spark, ids, f"{root}/ids")
+    T.append_ids(V.index_rows(spark, sf), ids)
+    S.drain_fresh(docs, ids, f"{root}/fresh", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(docs.schema).parquet(f"{root}/fresh").select("campaign", "source", "source_id", "pos")
 
 
 @query(
@@ -180,5 +197,5 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_dir(spark, "stats")
     stats = S.stream_stats(_status_stream(spark, sf), ["job_id", "status"])
-    S.publish_view(stats, f"{root}/stats", f"{root}/checkpoint").awaitTermination()
+    S.publish_view(stats, f"{root}/stats", f"{root}/checkpoint", ["job_id", "status"]).awaitTermination()
     return S.read_view(spark, f"{root}/stats", ["job_id", "status"])

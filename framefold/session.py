@@ -20,6 +20,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where the rows must be shuffled again after it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Timers and state with expiry need it; state lies on disk, not in the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

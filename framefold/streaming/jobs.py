@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -18,9 +19,15 @@ from pyspark.sql.types import StructType
 
 from framefold.constants import TERMINAL_JOB_STATUSES
 from framefold.operators.ranking import latest
+from framefold.sources.id_table import ID_COLUMNS, append_ids, drop_known, known_keys
 from framefold.sources.index_table import append_index
 
-JOIN_SALTS = 8
+#: Batches that a published view gathers before they are compacted.
+COMPACT_EVERY = 16
+
+
+# Stream workers need not be able to import this package: what they run is sent by value.
+register_pickle_by_value(sys.modules[__name__])
 
 
 def stream_ingest(spark: SparkSession, folder: str, keep: str, body: str = "body") -> DataFrame:
@@ -53,6 +60,73 @@ def terminal_jobs(status: DataFrame, job: str = "job_id", ts: str = "ts") -> Dat
     return done.groupBy(job).agg(first).select(job, "_first.status", f"_first.{ts}")
 
 
+class _FirstEnd(StatefulProcessor):
+    """Per job: report its first terminal status by time once no earlier one can come, forget it later."""
+
+    def __init__(self, keep_seconds: int):
+        self.keep_ms = keep_seconds * 1000
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.job = handle.getValueState("job", "first_us bigint, status string, last_ms bigint, told boolean, timer_ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        first, last, told, timer = None, None, False, None
+        if self.job.exists():
+            at, status, last, told, timer = self.job.get()
+            first = (at, status)
+        for frame in rows:
+            stamps = frame["ts"].map(lambda t: t.value // 1000)
+            low = min(zip(stamps.tolist(), frame["status"].tolist()))
+            first = low if first is None or (not told and low < first) else first
+            high = int(stamps.max()) // 1000
+            last = high if last is None else max(last, high)
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        self._save(first, last, told)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        at, status, last, told, _ = self.job.get()
+        if told:
+            self.job.clear()
+            return
+        self._save((at, status), last, True)
+        yield pd.DataFrame({"job_id": [key[0]], "status": [status], "ts": [pd.Timestamp(at, unit="us")]})
+
+    def _save(self, first: tuple[int, str], last: int, told: bool) -> None:
+        timer = last + self.keep_ms if told else first[0] // 1000
+        self.handle.registerTimer(timer)
+        self.job.update((int(first[0]), first[1], last, told, timer))
+
+    def close(self) -> None:
+        pass
+
+
+def terminal_jobs_stream(status: DataFrame, delay: str, keep_seconds: int = 7 * 86400) -> DataFrame:
+    """Streaming form with bounded state: a job is reported once, with its first terminal status by time.
+
+    It is reported when event time has passed that status by ``delay``, so reports that are late by less cannot change
+    it. A job is remembered until ``keep_seconds`` after its last terminal report, so later repeats do not report it
+    anew; then its state goes. Only terminal polls reach the state. Needs the RocksDB state store. ``status`` has
+    job_id, status, ts.
+    """
+    # A condition on the time as well stays above the watermark, so that all polls move it.
+    ended_at = F.when(F.col("status").isin(*TERMINAL_JOB_STATUSES), F.col("ts"))
+    return (
+        status.select("job_id", "status", "ts")
+        .withWatermark("ts", delay)
+        .where(ended_at.isNotNull())
+        .groupBy("job_id")
+        .transformWithStateInPandas(
+            statefulProcessor=_FirstEnd(keep_seconds),
+            outputStructType="job_id string, status string, ts timestamp",
+            outputMode="append",
+            timeMode="eventTime",
+        )
+    )
+
+
 def status_view(status: DataFrame, job: str = "job_id", ts: str = "ts") -> DataFrame:
     """Latest status and number of polls per job; batch or streaming (update or complete mode)."""
     newest = F.max_by(F.struct("status", ts), F.struct(ts, "status")).alias("_last")
@@ -73,10 +147,6 @@ def stalled_jobs(status: DataFrame, now, max_wait_seconds: int, job: str = "job_
     return seen.where(~F.col("_done") & (waited > max_wait_seconds)).drop("_done")
 
 
-# Stream workers need not be able to import this package: what they run is sent by value.
-register_pickle_by_value(sys.modules[__name__])
-
-
 class _StallTimer(StatefulProcessor):
     """Per job: fire once when the limit passes without a terminal status, forget ended and reported jobs later."""
 
@@ -138,36 +208,39 @@ def stalled_jobs_stream(
     )
 
 
-def stream_drop_indexed(
-    stream: DataFrame,
-    index: DataFrame,
-    keys: Sequence[str] = ("media_type", "campaign", "source"),
-    once_within: tuple[str, str] | None = None,
-    salts: int = JOIN_SALTS,
-) -> DataFrame:
-    """Stream without rows already indexed; rows with an empty id pass.
+def drain_fresh(
+    stream: DataFrame, ids: str, path: str, checkpoint: str, seen: str | None = None
+) -> StreamingQuery:
+    """Append to ``path`` the stream's rows whose id is not in the id table ``ids``; rows with an empty id pass.
 
-    ``once_within`` (time column, delay) also drops repeats inside the stream.
-    Streams are not re-planned for skew, so rows of one id are spread over
-    ``salts`` groups, each of which meets a copy of the indexed id.
+    Each micro-batch is stored once and reads of the table only what its campaigns and ids can match. It is a batch
+    plan, so a hot id is split by AQE and needs no copies of the table. With ``seen``, a second id table, of rows that
+    repeat an id within the stream one passes: ids written by earlier batches are known from there. A batch that is run
+    again after a failure writes its own folder again, and does not take its own ids for earlier ones.
     """
-    has_id = F.coalesce(F.col("source_id") != "", F.lit(False))
-    known = (
-        index.where(F.col("source_id") != "")
-        .select(*keys, "source_id")
-        .distinct()
-        .withColumn("_salt", F.explode(F.array(*map(F.lit, range(salts)))))
-    )
-    salted = stream.where(has_id).withColumn(
-        "_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)).cast("int")
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            fresh = drop_known(batch, known_keys(spark, ids, batch))
+            if seen is not None:
+                has_id = F.coalesce(F.col("source_id") != "", F.lit(False))
+                earlier = known_keys(spark, seen, batch, before=number)
+                first = drop_known(fresh.where(has_id), earlier).dropDuplicates(list(ID_COLUMNS))
+                fresh = first.unionByName(fresh.where(~has_id))
+            fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            if seen is not None:
+                append_ids(spark.read.schema(batch.schema).parquet(f"{path}/batch={number}"), seen, number)
+        finally:
+            batch.unpersist()
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
-    fresh = salted.join(known, [*keys, "source_id", "_salt"], "left_anti")
-    if once_within is not None:
-        ts, delay = once_within
-        fresh = fresh.withWatermark(ts, delay)
-        fresh = fresh.dropDuplicatesWithinWatermark([*keys, "source_id", "_salt"])
-        fresh = fresh.dropDuplicatesWithinWatermark([*keys, "source_id"])
-    return fresh.select(*stream.columns).unionByName(stream.where(~has_id))
 
 
 def stream_upsert(
@@ -195,11 +268,25 @@ def stream_stats(stream: DataFrame, by: Sequence[str]) -> DataFrame:
     return stream.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def publish_view(view: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed rows of an aggregate with the batch number; see ``read_view``."""
+def publish_view(
+    view: DataFrame, path: str, checkpoint: str, key: Sequence[str], every: int = COMPACT_EVERY
+) -> StreamingQuery:
+    """Write the changed rows of an aggregate, batch by batch, and compact them; see ``read_view``.
+
+    Batches are written to the folder of their generation, ``every`` batches long; a batch that is run again writes its
+    own folder again. At the end of a generation the newest row per key of the base and the generation becomes the next
+    base, in a folder of its own, and then the pointer moves on. Of its two slots the older one is written, so a crash at
+    any place leaves a valid pointer to complete data. Folders of earlier generations are not read any more.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("append").parquet(path)
+        spark = batch.sparkSession
+        generation = number // every
+        if _pointer(spark, path) > generation:  # run again after its generation was compacted
+            return
+        _batch_rows(batch, number).write.mode("overwrite").parquet(f"{path}/gen={generation}/batch={number}")
+        if number % every == every - 1:
+            compact_view(spark, path, key)
 
     return (
         view.writeStream.outputMode("update")
@@ -210,6 +297,53 @@ def publish_view(view: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _batch_rows(batch: DataFrame, number: int) -> DataFrame:
+    return batch.withColumn("_batch", F.lit(number).cast("bigint"))
+
+
+def compact_view(spark: SparkSession, path: str, key: Sequence[str]) -> None:
+    """Close the current generation of a published view: its newest rows become the base of the next one."""
+    generation = _pointer(spark, path)
+    rows = _view_rows(spark, path, generation)
+    latest(rows, key, ["_batch"]).write.mode("overwrite").parquet(f"{path}/base={generation + 1}")
+    # The next generation's folder is there before readers look for it.
+    rows.limit(0).write.mode("overwrite").parquet(f"{path}/gen={generation + 1}/batch=none")
+    _move_pointer(spark, path, generation + 1)
+
+
+def _slots(path: str) -> list[str]:
+    return [f"{path}/pointer={slot}" for slot in (0, 1)]
+
+
+def _pointer(spark: SparkSession, path: str) -> int:
+    """The current generation: the higher of the complete slots, 0 before the first compaction."""
+    found = [0]
+    for slot in _slots(path):
+        try:
+            found += [r.generation for r in spark.read.schema("generation bigint").parquet(slot).collect()]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return max(found)
+
+
+def _move_pointer(spark: SparkSession, path: str, generation: int) -> None:
+    spark.range(generation, generation + 1, 1, 1).select(F.col("id").alias("generation")).write.mode("overwrite").parquet(
+        _slots(path)[generation % 2]
+    )
+
+
+def _view_rows(spark: SparkSession, path: str, generation: int) -> DataFrame:
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/gen={generation}")
+    if generation:
+        rows = rows.unionByName(spark.read.parquet(f"{path}/base={generation}"))
+    return rows
+
+
 def read_view(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
-    """Current rows of a published view: those of each key's newest batch."""
-    return latest(spark.read.parquet(path), key, ["_batch"]).drop("_batch")
+    """Current rows of a published view: each key's newest row in the base and the batches after it.
+
+    A read costs the base and fewer than ``every`` batches, however many were published.
+    """
+    rows = _view_rows(spark, path, _pointer(spark, path))
+    return latest(rows, key, ["_batch"]).drop("_batch")
