@@ -3,7 +3,7 @@
 Both tokenizers encode the whole text. Where tokens of both end at the same byte and the next token of
 both is marked by a space stands an anchor; anchors split a text into windows of a few tokens, mostly a
 word. A window's alignment depends on its ids alone, so it is made once for each pair of id tuples and
-remembered, up to ``MEMO`` windows a worker.
+remembered, up to ``MEMO`` windows a worker; a piece of texts looks up each different window once.
 
 Counts over the corpus are gathered by chunks: a chunk is a bounded stretch of texts of one task, with the
 distinct id pairs it links, numbered from 0. Only a chunk's distinct pairs are shuffled to be counted, one
@@ -17,9 +17,11 @@ it), the memo, and at most ``CHUNK_PAIRS`` pairs and those of one more piece.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,6 +47,25 @@ ALIGNED = (
 _TOKENIZERS: dict[tuple[str, str], "TokenizerPair"] = {}
 
 
+def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of the tokens, where each token starts and how long it is."""
+    sizes = np.array([len(x) for x in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
+def _spell(ids: list[list[int]], table: tuple[np.ndarray, np.ndarray, np.ndarray], texts: list[bytes]) -> bool:
+    """Whether the tokens of each text spell it."""
+    data, starts, sizes = table
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+    size = sizes[flat]
+    total = np.concatenate(([0], np.cumsum(size)))
+    ends = total[np.cumsum([len(x) for x in ids])]
+    if not np.array_equal(ends, np.cumsum([len(t) for t in texts])):
+        return False
+    spelled = data[np.arange(total[-1]) + np.repeat(starts[flat] - total[:-1], size)]
+    return spelled.tobytes() == b"".join(texts)
+
+
 class TokenizerPair:
     """A byte-level BPE file (A) and a piece model (B), with the bytes of their tokens."""
 
@@ -59,7 +80,9 @@ class TokenizerPair:
         self.length_b = np.array([len(x) for x in self.bytes_b])
         self.spaced_a = np.array([x.startswith(b" ") for x in self.bytes_a])
         self.spaced_b = np.array([x.startswith(b" ") for x in self.bytes_b])
-        self.memo: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, list[int], int]] = {}
+        self.spelled_a, self.spelled_b = _table(self.bytes_a), _table(self.bytes_b)
+        self.size_a, self.size_b = self.length_a.tolist(), self.length_b.tolist()
+        self.memo: dict[bytes, tuple[str, bytes]] = {}
 
     def _token(self, i: int) -> bytes:
         try:
@@ -75,23 +98,22 @@ class TokenizerPair:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both for each text; none where the text is empty or the tokens' bytes are not a space and the text."""
-        spaced = [" " + t for t in texts]
+        spaced = [" " + t if t else "" for t in texts]
         all_a = self.a.encode_ordinary_batch(spaced, num_threads=1)
         all_b = self.b.encode(texts, num_threads=1)
-        for k, text in enumerate(spaced):
-            raw = text.encode()
-            if (
-                len(raw) == 1
-                or b"".join(map(self.bytes_a.__getitem__, all_a[k])) != raw
-                or b"".join(map(self.bytes_b.__getitem__, all_b[k])) != raw
-            ):
-                all_a[k], all_b[k] = [], []
+        raw = [t.encode() for t in spaced]
+        if not all(_spell(ids, table, raw) for ids, table in ((all_a, self.spelled_a), (all_b, self.spelled_b))):
+            for k, text in enumerate(raw):
+                if not all(_spell(ids, table, [text]) for ids, table in (([all_a[k]], self.spelled_a), ([all_b[k]], self.spelled_b))):
+                    all_a[k], all_b[k] = [], []
         return all_a, all_b
 
-    def windows(self, a: list[int], b: list[int]) -> Iterator[tuple[tuple[int, ...], tuple[int, ...]]]:
-        """The id tuples between anchors. ``a`` and ``b`` spell the same bytes."""
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+    def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids of ``a`` and of ``b`` stand before the end of each window; both spell the same bytes.
+
+        Texts may follow one another: each starts with a marked token.
+        """
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         token_a = np.full(int(ends_a[-1]) + 1 if len(a) else 1, -1)
         token_a[ends_a] = np.arange(len(a))
         token_a = token_a[ends_b]
@@ -99,48 +121,82 @@ class TokenizerPair:
         at_a = token_a[at_b]
         inner = at_b + 1 < len(b)
         marked = ~inner
-        marked[inner] = self.spaced_a[ids_a[at_a[inner] + 1]] & self.spaced_b[ids_b[at_b[inner] + 1]]
-        from_a = from_b = 0
-        for to_a, to_b in zip((at_a[marked] + 1).tolist(), (at_b[marked] + 1).tolist()):
-            yield tuple(a[from_a:to_a]), tuple(b[from_b:to_b])
-            from_a, from_b = to_a, to_b
-
-    def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int], int]:
-        """A window's groups as text, its links as ``a * n_b + b``, and the number of its groups."""
+        marked[inner] = self.spaced_a[a[at_a[inner] + 1]] & self.spaced_b[b[at_b[inner] + 1]]
+        return at_a[marked] + 1, at_b[marked] + 1
+
+    def windows(self, a: np.ndarray, b: np.ndarray) -> pa.Array:
+        """The id tuples between anchors as little-endian unsigned 32-bit ids, those of B raised by the ids of A."""
+        to_a, to_b = self.anchors(a, b)
+        from_a, from_b = (np.concatenate(([0], to[:-1])) if len(to) else to for to in (to_a, to_b))
+        ids = np.empty(len(a) + len(b), "<u4")
+        ids[np.arange(len(a)) + np.repeat(from_b, to_a - from_a)] = a
+        ids[np.arange(len(b)) + np.repeat(to_a, to_b - from_b)] = b + len(self.bytes_a)
+        places = 4 * np.concatenate(([0], to_a + to_b))
+        return pa.Array.from_buffers(pa.large_binary(), len(to_a), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+
+    def unpacked(self, window: bytes) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """The ids of A and of B of a window."""
+        ids, n_a = np.frombuffer(window, "<u4").tolist(), len(self.bytes_a)
+        cut = next(k for k, i in enumerate(ids) if i >= n_a)
+        return tuple(ids[:cut]), tuple(i - n_a for i in ids[cut:])
+
+    def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
+        """A window's groups as text and its links, one a group, as ``a * n_b + b``."""
+        size_a, size_b, n_b = self.size_a, self.size_b, len(self.bytes_b)
         groups, links = [], []
         from_a = from_b = at_a = at_b = 0
-        end_a, end_b = int(self.length_a[a[0]]), int(self.length_b[b[0]])
+        ahead = size_a[a[0]] - size_b[b[0]]
         while True:
-            if end_a == end_b:
-                mine, yours = a[from_a : at_a + 1], b[from_b : at_b + 1]
-                groups.append(",".join(map(str, mine)) + "|" + ",".join(map(str, yours)))
-                links.append(a[at_a] * len(self.bytes_b) + b[at_b])
-                from_a, from_b = at_a + 1, at_b + 1
-                if from_a == len(a):
-                    return ";".join(groups), links, len(groups)
-                at_a, at_b = from_a, from_b
-                end_a += int(self.length_a[a[at_a]])
-                end_b += int(self.length_b[b[at_b]])
-            elif end_a < end_b:
+            if ahead < 0:
                 at_a += 1
-                end_a += int(self.length_a[a[at_a]])
-            else:
+                ahead += size_a[a[at_a]]
+            elif ahead > 0:
                 at_b += 1
-                end_b += int(self.length_b[b[at_b]])
-
-    def aligned(self, a: list[int], b: list[int]) -> tuple[str, list[int], int]:
-        """A text's groups as text, its links and the number of its groups."""
-        memo, texts, links, n = self.memo, [], [], 0
-        for window in self.windows(a, b):
-            known = memo.get(window)
-            if known is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                known = memo[window] = self.align(*window)
-            texts.append(known[0])
-            links += known[1]
-            n += known[2]
-        return ";".join(texts), links, n
+                ahead -= size_b[b[at_b]]
+            else:
+                last_a, last_b = a[at_a], b[at_b]
+                links.append(last_a * n_b + last_b)
+                if from_a == at_a and from_b == at_b:
+                    groups.append(f"{last_a}|{last_b}")
+                else:
+                    groups.append(
+                        ",".join(map(str, a[from_a : at_a + 1])) + "|" + ",".join(map(str, b[from_b : at_b + 1]))
+                    )
+                at_a, at_b = from_a, from_b = at_a + 1, at_b + 1
+                if from_a == len(a):
+                    return ";".join(groups), links
+                ahead = size_a[a[at_a]] - size_b[b[at_b]]
+
+    def remembered(self, window: bytes) -> tuple[str, bytes]:
+        """The alignment of a window, its links as 64-bit numbers."""
+        known = self.memo.get(window)
+        if known is None:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            groups, links = self.align(*self.unpacked(window))
+            known = self.memo[window] = groups, np.array(links, "<i8").tobytes()
+        return known
+
+    def aligned(self, all_a: list[list[int]], all_b: list[list[int]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """For texts one after the other: their groups as text, how many links each has, and all links.
+
+        Equal windows of the texts are aligned or looked up once.
+        """
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids))) for ids in (all_a, all_b))
+        found = self.windows(a, b).dictionary_encode()
+        number = found.indices.to_numpy(zero_copy_only=False)
+        known = [self.remembered(w) for w in found.dictionary.to_pylist()]
+        groups = pa.array([g for g, _ in known], pa.large_string()).take(pa.array(number))
+        links = np.frombuffer(b"".join(x for _, x in known), "<i8")
+        size = np.array([len(x) // 8 for _, x in known], np.int64)
+        sizes, begin = size[number], (np.cumsum(size) - size)[number]
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        links = links[np.arange(total[-1]) + np.repeat(begin - total[:-1], sizes)]
+        _, ends = self.anchors(a, b)
+        texts = np.concatenate(([0], np.searchsorted(ends, np.cumsum([len(x) for x in all_b]), "right")))
+        listed = pa.ListArray.from_arrays(pa.array(texts, pa.int32()), groups)
+        joined = pc.binary_join(listed, pa.scalar(";", pa.large_string()))
+        return joined.cast(pa.string()), np.diff(total[texts]), links
 
 
 def tokenizer_pair(byte_level: str, piece_model: str) -> TokenizerPair:
@@ -185,12 +241,16 @@ class _Chunk:
         return _batch({k: [v] for k, v in values.items()}, 1)
 
 
-def _batch(columns: dict[str, list], rows: int) -> pa.RecordBatch:
+def _batch(columns: dict[str, list | np.ndarray | pa.Array], rows: int) -> pa.RecordBatch:
     kinds = {"doc_id": pa.int64(), "chunk": pa.string(), "groups": pa.string(), "links": pa.binary(), "times": pa.binary()}
     kinds |= {"pair_a": pa.list_(pa.int32()), "pair_b": pa.list_(pa.int32()), "pair_n": pa.list_(pa.int64())}
     names = [c.split()[0] for c in ALIGNED.split(", ")]
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns.get(c, [None] * rows), kinds.get(c, pa.int64())) for c in names], names=names
+        [
+            v if isinstance(v := columns.get(c, [None] * rows), pa.Array) else pa.array(v, kinds.get(c, pa.int64()))
+            for c in names
+        ],
+        names=names,
     )
 
 
@@ -213,14 +273,8 @@ def align_documents(docs: DataFrame, byte_level: str, piece_model: str) -> DataF
         for batch in pieces(batches, "text", PIECE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             all_a, all_b = pair.encode(texts)
-            groups, counts, keys, sizes = [], [], [], []
-            for a, b in zip(all_a, all_b):
-                text, links, n = pair.aligned(a, b)
-                groups.append(text)
-                counts.append(n)
-                keys += links
-                sizes.append(len(links))
-            key = np.repeat(np.arange(len(texts)) << PAIR_BITS, sizes) + np.array(keys, np.int64)
+            groups, sizes, links = pair.aligned(all_a, all_b)
+            key = np.repeat(np.arange(len(texts)) << PAIR_BITS, sizes) + links
             key, times = np.unique(key, return_counts=True)
             pairs, place = np.unique(key & ((1 << PAIR_BITS) - 1), return_inverse=True)
             number = chunk.add(pairs, np.bincount(place, times, len(pairs)).astype(np.int64))[place]
@@ -229,11 +283,11 @@ def align_documents(docs: DataFrame, byte_level: str, piece_model: str) -> DataF
             number, times, cuts = number[order], times[order], np.searchsorted(doc, np.arange(1, len(texts)))
             yield _batch(
                 {
-                    "doc_id": batch.column("doc_id").to_pylist(),
+                    "doc_id": batch.column("doc_id"),
                     "chunk": [chunk.name] * len(texts),
                     "n_a": [len(a) for a in all_a],
                     "n_b": [len(b) for b in all_b],
-                    "n_groups": counts,
+                    "n_groups": sizes,  # each shared end closes a group and links its last tokens
                     "n_links": sizes,
                     "groups": groups,
                     "links": [planes(np.diff(x, prepend=0)) for x in np.split(number, cuts)],
