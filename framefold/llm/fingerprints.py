@@ -226,7 +226,8 @@ def find_near(fingerprints: DataFrame, queries: DataFrame, radius: int = RADIUS)
     high, low = (F.col(f"row_{half}").bitwiseXOR(F.col(f"ask_{half}")) for half in ("high", "low"))
     finders = [F.when(F.bit_count(bits) <= apart, F.lit(i)) for i, (bits, _) in enumerate(_blocks(high, low))]
     return (
-        asks.join(rows, "key")
+        # Both sides grow with the corpus; the exploded one must not be taken for small.
+        asks.hint("merge").join(rows.hint("merge"), "key")
         .withColumn("distance", F.bit_count(high) + F.bit_count(low))
         .where((F.col("distance") <= radius) & (F.coalesce(*finders) == F.shiftright("key", 32)))
         .select(text("ask").alias("query"), text("row").alias("fingerprint"), "distance")
