@@ -194,31 +194,30 @@ def mixture(docs: DataFrame) -> DataFrame:
         F.col("full").alias("_full"),
         F.col("ranges").alias("_ranges"),
     )
-    left = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("n")),
-            "_src": F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")),
-            "_size": word_count(),
-        }
-    ).withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("text"))))
+    row = F.struct(*[F.col(f"`{c}`") for c in names])  # its columns cannot clash in there
+    left = docs.select(
+        row.alias("_row"),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("n")).alias("_id"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("_src"),
+        word_count().alias("_size"),
+    ).withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("_row.text"))))
     right = taken.withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy("_full", F.size("_ranges"))))
     whole = F.array_repeat(F.expr("named_struct('from', 0L, 'to', _size)"), F.col("_full").cast("int"))
     copies = left.join(right, [*same, "_nth"]).withColumn("_copy", F.explode(F.concat(whole, F.col("_ranges"))))
     words = F.slice(
-        F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)),
+        F.regexp_extract_all("_row.text", F.lit(_WORD), F.lit(0)),
         (F.col("_copy.from") + 1).cast("int"),
         (F.col("_copy.to") - F.col("_copy.from")).cast("int"),
     )
     cut = (F.col("_copy.to") - F.col("_copy.from")) < F.col("_size")
     out = copies.withColumn("_cut", cut).withColumn(
-        "text", F.when(F.col("_cut"), F.array_join(words, " ")).otherwise(F.col("text"))
+        "_text", F.when(F.col("_cut"), F.array_join(words, " ")).otherwise(F.col("_row.text"))
     )
+    mixed = F.col("_row").withField("text", F.col("_text"))
     if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn(
-            "n_chars", F.when(F.col("_cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        )
-    return out.select(*names)
+        size = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        mixed = mixed.withField("n_chars", F.when(F.col("_cut"), size).otherwise(F.col("_row.n_chars")))
+    return out.select(mixed.alias("_row")).select("_row.*")
 
 
 SQL = f"""

@@ -46,11 +46,15 @@ WIDE = {
 }
 _WORTH_A_LOOK = r"[0-9@]|[(\[](?:at|AT)[)\]]"
 
+# Whole words: "ip" is none in "recipe", "card" none in "discard".
 _CONTEXTS = {
-    "phone": "tel|phone|call|mobile|fax|whatsapp",
-    "card": "card|visa|credit|payment|karte|tarjeta|carte",
-    "ip": "ip|host|server|address|client",
-    "email": "mail|contact|write|kontakt|correo|courriel",
+    kind: rf"(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"
+    for kind, words in {
+        "phone": "tel|telephone|phones?|calls?|mobile|fax|whatsapp",
+        "card": "cards?|visa|credit|payments?|karte|tarjeta|carte",
+        "ip": "ips?|hosts?|servers?|address|addresses|clients?",
+        "email": "e?mails?|contact|write|kontakt|correo|courriel",
+    }.items()
 }
 # Nothing that tells the form of a base pattern from a generous one: no signs, separators, lengths or country codes.
 FEATURES = [
@@ -276,7 +280,7 @@ def redact(docs: DataFrame) -> DataFrame:
         ).otherwise(F.array_append(acc, F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))),
     )
     spans = land(find_spans(docs).select("text_key", merged.alias("_spans")), "pii-spans")
-    text = F.col("text")
+    text = F.col("_row.text")
     parts = F.transform(
         "_spans",
         lambda s, i: _with(
@@ -286,18 +290,15 @@ def redact(docs: DataFrame) -> DataFrame:
     )
     last = F.element_at("_spans", -1)["end"].cast("int")
     cleaned = F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text)))
-    out = (
-        docs.withColumn("text_key", F.xxhash64("text"))
-        .join(spans, "text_key", "left")
-        .withColumn("_new", F.when(F.col("_spans").isNull(), text).otherwise(cleaned))
-    )
-    out = out.withColumn("text", F.col("_new"))
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # they cannot clash in there
+    keyed = docs.select(columns.alias("_row"), F.xxhash64("text").alias("text_key"))
+    none = F.col("_spans").isNull()
+    out = keyed.join(spans, "text_key", "left").withColumn("_new", F.when(none, text).otherwise(cleaned))
+    row = F.col("_row").withField("text", F.col("_new"))
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn(
-            "n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
-        )
-    return out.select(*docs.columns)
+        size = F.length("_new").cast(docs.schema["n_chars"].dataType)
+        row = row.withField("n_chars", F.when(none, F.col("_row.n_chars")).otherwise(size))
+    return out.select(row.alias("_row")).select("_row.*")
 
 
 def spans_by_document(docs: DataFrame) -> DataFrame:

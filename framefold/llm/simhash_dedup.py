@@ -233,10 +233,11 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, distance: int
         .agg(F.min("text_hash").alias("_hash"), F.min("component_id").alias("_id"))
         .select("_id", "_hash")
     )
-    hashed = docs.withColumn("_h", F.xxhash64("text"))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # its columns cannot clash in there
+    hashed = docs.select(row.alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_h"))
+    same = F.col("_doc").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
     kept = hashed.join(first, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+    return kept.dropDuplicates(["_doc", "_h"]).select("_row.*")
 
 
 @query("op10_simhash_near_dedup")

@@ -100,6 +100,16 @@ def test_national_phones_and_obfuscated_addresses_are_added_in_clear_context(spa
     assert not any(spans[400 + i] for i in range(150))
 
 
+def test_numbers_beside_words_that_only_contain_a_context_word_stay(spark):
+    rows = [(i, f"host 10.0.{i}.7 is up", "en", "s") for i in range(150)]
+    rows += [(200 + i, f"please call +49 30 {1234567 + i} today", "en", "s") for i in range(150)]
+    rows += [(400 + i, f"recipe steps 1 2 3 {i} then stir", "en", "s") for i in range(150)]
+    rows += [(600 + i, f"physically discard 030 {4567 + i} {1000 + i} pieces", "en", "s") for i in range(150)]
+    rows += [(800 + i, f"item 1 2 3 {i} in stock", "en", "s") for i in range(150)]
+    spans = {r.doc_id: r.spans for r in spans_by_document(odd(spark, rows)).collect()}
+    assert all(spans[i] for i in range(150)) and not any(spans[400 + i] or spans[600 + i] for i in range(150))
+
+
 def _card(i):
     body = f"4{i:05d}123456789"[:15]
     return next(body + str(d) for d in range(10) if luhn(body + str(d)))
