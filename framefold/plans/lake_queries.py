@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from framefold.constants import PREDEFINED_CAMPAIGNS, SOURCES
@@ -236,19 +238,27 @@ def _(spark, sf):
 
 @query(
     "scan_objects",
-    """SELECT source, lang AS campaign FROM documents GROUP BY ALL""",
+    """SELECT source, lang AS campaign, CAST(sum(strlen(text) + 1) AS BIGINT) AS length, true AS is_new FROM documents
+       GROUP BY ALL""",
 )
 def _(spark, sf):
-    """Assets written under their layout, then listed: the folders that hold objects."""
-    path = scratch_dir(spark, "objects")
-    docs = V.table(spark, sf, "documents").select("doc_id", "source", F.col("lang").alias("campaign"))
-    write_assets(docs, f"{path}/assets")
-    listed = scan_objects(spark, path, "assets/source=").where("length > 0")
+    """Objects written below source and campaign, then listed: what each folder holds, and whether it is new."""
+    root = scratch_dir(spark, "objects")
+    since = datetime.now(timezone.utc) - timedelta(minutes=1)
+    docs = V.table(spark, sf, "documents").select("text", "source", F.col("lang").alias("campaign"))
+    docs.hint("rebalance", "source", "campaign").write.partitionBy("source", "campaign").text(f"{root}/assets")
+    listed = scan_objects(spark, root, "assets/source=").where(F.col("key").endswith(".txt"))
     part = F.split("key", "/")
-    return listed.select(
-        F.replace(part[1], F.lit("source="), F.lit("")).alias("source"),
-        F.replace(part[2], F.lit("campaign="), F.lit("")).alias("campaign"),
-    ).distinct()
+    return (
+        listed.groupBy(
+            F.replace(part[1], F.lit("source="), F.lit("")).alias("source"),
+            F.replace(part[2], F.lit("campaign="), F.lit("")).alias("campaign"),
+        )
+        .agg(
+            F.sum("length").alias("length"),
+            F.bool_and(F.col("modified").between(F.lit(since), F.current_timestamp())).alias("is_new"),
+        )
+    )
 
 
 @query(

@@ -4,33 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framefold.functions.text import ends, has, segment, starts
+from framefold.sources.executions import any_time
+from framefold.sources.listing import ObjectListing
 
 
-def scan_objects(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
-    """key, length and modification time below ``root``; object contents are not read.
+def scan_objects(spark: SparkSession, root: str, prefix: str | None = None, depth: int = 2) -> DataFrame:
+    """key, length and modification time of all objects below ``root``; an absent folder has none.
 
-    A prefix ending in ``/`` narrows the listing itself; the rest of it filters keys.
+    A prefix ending in ``/`` narrows the listing itself; the rest of it filters keys. The executors list the folders
+    that lie ``depth`` levels below the prefix, each in a task of its own.
     """
+    spark.dataSource.register(ObjectListing)
     folder = (prefix or "").rpartition("/")[0]
-    start = f"{root.rstrip('/')}/{folder}".rstrip("/")
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(start)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-    )
-    marker = root.split("://")[-1].rstrip("/").split(":")[-1] + "/"
-    listed = files.select(_below(F.col("path"), marker).alias("key"), "length", "modified")
+    listed = spark.read.format(ObjectListing.name()).options(path=root, folder=folder, depth=depth).load()
     return list_keys(listed, "key", prefix)
 
 
-def _below(path: Column, marker: str) -> Column:
-    at = F.instr(path, F.lit(marker))
-    return F.substr(path, at + F.lit(len(marker)))
+def scan_inventory(inventory: DataFrame, prefix: str | None = None) -> DataFrame:
+    """The same from landed inventory rows (``key, size, last_modified``), as stores deliver them: no listing at all."""
+    listed = inventory.select("key", F.col("size").cast("bigint").alias("length"), any_time("last_modified").alias("modified"))
+    return list_keys(listed, "key", prefix)
 
 
 def list_keys(df: DataFrame, key: str, prefix: str | None = None) -> DataFrame:

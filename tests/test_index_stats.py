@@ -1,3 +1,4 @@
+import os
 from pyspark.sql import functions as F
 
 from framefold import schemas
@@ -6,7 +7,7 @@ from framefold.operators import joins as J
 from framefold.operators.gates import require
 from framefold.operators.sets import campaign_catalogue
 from framefold.sources import index_table as I
-from framefold.sources.objects import list_keys, scan_objects, source_flags, with_file_size
+from framefold.sources.objects import list_keys, scan_inventory, scan_objects, source_flags, with_file_size
 
 
 def record(key, campaign="nature", at="2024-01-01", metadata="{}", ttl=100, source="wikimedia", sid="x", **over):
@@ -134,3 +135,25 @@ def test_object_scan(spark, tmp_path):
     assert scan_objects(spark, str(tmp_path)).count() == 2
     sized = with_file_size(rows.withColumn("size", F.lit(None).cast("bigint")), "size", F.col("length"))
     assert sized.first().file_size == 15
+
+
+def test_listing_by_folders_and_inventory(spark, tmp_path):
+    names = ["a.txt", "x/b.txt", "x/y/c.txt", "x/y/z/d.txt", "x/y/z/w/_e.txt", "q/root/f.txt"]
+    root = tmp_path / "root"
+    for n, name in enumerate(names):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("é" * n)
+        os.utime(root / name, (1_700_000_000 + n, 1_700_000_000 + n))
+    for depth in (0, 1, 2, 7):
+        rows = scan_objects(spark, f"file://{root}", depth=depth).collect()
+        assert sorted((r.key, r.length, r.modified.timestamp()) for r in rows) == sorted(
+            (name, 2 * n, 1_700_000_000.0 + n) for n, name in enumerate(names)
+        )
+    assert sorted(r.key for r in scan_objects(spark, str(root), "x/y/").collect()) == sorted(names[2:5])
+    assert scan_objects(spark, str(root), "absent/").count() == 0 == scan_objects(spark, str(tmp_path / "no")).count()
+    inventory = spark.createDataFrame(
+        [("x/b.txt", "2", "2023-11-14T22:13:21Z"), ("x/", "0", None), ("y/c", "5", "1700000002")],
+        "key string, size string, last_modified string",
+    )
+    rows = scan_inventory(inventory, "x/").collect()
+    assert [(r.key, r.length, r.modified.timestamp()) for r in rows] == [("x/b.txt", 2, 1_700_000_001.0)]
