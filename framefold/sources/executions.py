@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framefold import schemas
@@ -65,10 +65,10 @@ def step_status_label(status) -> Column:
     return label
 
 
-def scan_history(raw: DataFrame, body: str = "body") -> DataFrame:
+def scan_history(raw: DataFrame, body: str = "body", missing_id: int | None = 0) -> DataFrame:
     """Flat history events of raw event documents, one row each.
 
-    Columns: execution_arn, id (0 when missing), type, ts, name, input, seconds,
+    Columns: execution_arn, id (``missing_id`` when missing; None for ``recover_order``), type, ts, name, input, seconds,
     resource, output, error, cause, index. The order of events is carried by
     ``id``. Timelines read the result several times: land it as a table first
     (``land_history``), so that the documents are parsed once.
@@ -94,7 +94,7 @@ def scan_history(raw: DataFrame, body: str = "body") -> DataFrame:
     }
     return parse_once(raw, body, schemas.HISTORY_EVENT, "_e").select(
         "execution_arn",
-        F.coalesce(e["id"], F.lit(0).cast("bigint")).alias("id"),
+        F.coalesce(e["id"], F.lit(missing_id).cast("bigint")).alias("id"),
         F.coalesce(e["type"], F.lit("")).alias("type"),
         any_time(e["timestamp"]).alias("ts"),
         detail(
@@ -129,6 +129,47 @@ def scan_history(raw: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+#: Event types of one instant in the order in which they happen; others come in between.
+EVENT_ORDER = (
+    ("ExecutionStarted",),
+    ("TaskStateEntered", "MapStateEntered", "WaitStateEntered"),
+    ("MapIterationStarted",),
+    ("LambdaFunctionScheduled", "TaskScheduled"),
+    ("LambdaFunctionStarted", "TaskStarted"),
+    ("LambdaFunctionFailed", "TaskFailed", "LambdaFunctionSucceeded", "TaskSucceeded"),
+    ("MapIterationFailed", "MapIterationSucceeded"),
+    ("MapStateSucceeded",),
+    ("TaskStateExited", "WaitStateExited"),
+    ("ExecutionFailed", "ExecutionSucceeded"),
+)
+
+
+def recover_order(history: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """``history`` with new ids for executions in which an event has none; other executions keep theirs.
+
+    Their events are numbered from 1 by time (missing times first), then by the order in which events of one instant
+    happen (``EVENT_ORDER``), then by type. Numbers are given inside buckets of time, so that a long execution is no
+    single group; what comes before a bucket is summed up on one row per bucket.
+    """
+    ranks = [F.lit(x) for n, types in enumerate(EVENT_ORDER) for t in types for x in (t, n)]
+    rank = F.coalesce(F.try_element_at(F.create_map(*ranks), F.col("type")), F.lit(len(EVENT_ORDER) // 2))
+    bucket = F.coalesce(F.floor(F.unix_seconds("ts") / bucket_seconds), F.lit(-(1 << 62)))
+    events = history.withColumn("_bucket", bucket)
+    key = ["execution_arn", "_bucket"]
+    execution = Window.partitionBy("execution_arn")
+    sizes = events.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(F.col("id").isNull()).alias("_lost"))
+    before = execution.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        *key,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.bool_or("_lost").over(execution).alias("_lost"),
+    )
+    inside = Window.partitionBy(*key).orderBy(F.col("ts").asc_nulls_first(), rank, "type")
+    numbered = events.withColumn("_nth", F.row_number().over(inside)).join(sizes, key)
+    new_id = F.when(F.col("_lost"), F.col("_before") + F.col("_nth")).otherwise(F.col("id"))
+    return numbered.withColumn("id", new_id).select(*history.columns)
+
+
 def land_history(history: DataFrame, path: str) -> DataFrame:
     """Write flat history events and read them back."""
     history.write.mode("overwrite").parquet(path)

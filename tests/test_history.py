@@ -6,7 +6,7 @@ import random
 import pytest
 
 from framefold.operators import history as H
-from framefold.sources.executions import scan_executions, scan_history
+from framefold.sources.executions import recover_order, scan_executions, scan_history
 
 TASKS = ["IngestVideo", "CheckJobStatus", "Other"]
 KEY = {
@@ -175,6 +175,24 @@ def test_steps_match_fold(landed, histories, segment_size):
         assert got.get(arn, {}) == fold(events)[0], arn
 
 
+def test_order_is_recovered_from_times(spark, histories):
+    """Without the ids of some events, buckets of a few seconds give the timeline of the whole log."""
+    rows = [
+        (arn, json.dumps({k: v for k, v in e.items() if k != "id" or (n + len(events)) % 3}))
+        for arn, events in histories.items()
+        for n, e in enumerate(events)
+    ]
+    random.Random(4).shuffle(rows)
+    raw = spark.createDataFrame(rows, "execution_arn string, body string")
+    events = recover_order(scan_history(raw, missing_id=None), bucket_seconds=10)
+    got = {}
+    for r in H.steps(events, segment_size=5).where("state_name is not null").collect():
+        got.setdefault(r.execution_arn, {})[r.state_name] = (r.status, r.order, r.error, int(r.entered_at.timestamp()))
+    for arn, log in histories.items():
+        want = {k: (s["status"], s["order"], s.get("error"), s["entered_at"]) for k, s in fold(log)[0].items()}
+        assert got.get(arn, {}) == want, arn
+
+
 def test_iterations_match_fold(landed, histories):
     pairs = H.pair_iterations(landed)
     got = {}
