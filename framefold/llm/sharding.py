@@ -25,7 +25,7 @@ BUCKET_BYTES = 16 << 20
 #: Buckets are numbered on in blocks of so many.
 BLOCK = 1024
 
-_BUCKET, _FIRST, _AT, _SHARD, _SLOT = (f"__{n}" for n in ("bucket", "first", "at", "shard", "slot"))
+_BUCKET, _FIRST, _AT, _SHARD, _SLOT, _COPY = (f"__{n}" for n in ("bucket", "first", "at", "shard", "slot", "copy"))
 
 
 def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
@@ -52,16 +52,30 @@ def _order_key(docs: DataFrame, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _numbered(docs: DataFrame, seed: int) -> DataFrame:
+    """The records with their hash, and equal records numbered from 0.
+
+    Equal records are interchangeable, so those that repeat are counted, by value, and written out again with their
+    numbers: no group of them is gathered, however many there are.
+    """
+    placed = docs.withColumn(_AT, _order_key(docs, seed))
+    repeated = placed.groupBy(_AT).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(_AT)
+    single = placed.join(repeated, _AT, "left_anti").withColumn(_COPY, F.lit(0).cast("bigint"))
+    names = [f"`{c}`" for c in docs.columns]
+    copies = placed.join(repeated, _AT, "left_semi").groupBy(*names, _AT).agg(F.count(F.lit(1)).alias(_COPY))
+    copies = copies.withColumn(_COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(_COPY) - 1)))
+    return single.select(*names, _AT, _COPY).union(copies.select(*names, _AT, _COPY))
+
+
 def _bucketed(docs: DataFrame, seed: int, bucket_bytes: int) -> tuple[DataFrame, int]:
     """The records with their bucket and its first place, and the number of rows.
 
-    The bucket follows from the whole record, so records that share an id or a text still spread.
+    The bucket follows from the whole record and its number among equal ones, so records that share an id or a text,
+    or are the same, still spread.
     """
     total = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(_record_bytes(docs)).alias("bytes")).collect()[0]
     buckets = max(1, -(-(total["bytes"] or 0) // bucket_bytes))
-    placed = docs.withColumn(_AT, _order_key(docs, seed)).withColumn(
-        _BUCKET, F.pmod(F.xxhash64(F.lit(seed + 1), _AT), F.lit(buckets))
-    )
+    placed = _numbered(docs, seed).withColumn(_BUCKET, F.pmod(F.xxhash64(F.lit(seed + 1), _AT, _COPY), F.lit(buckets)))
     sizes = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     block = sizes.withColumn("_block", F.floor(F.col(_BUCKET) / BLOCK))
     upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
