@@ -98,11 +98,15 @@ def _(spark, sf):
 
 @query(
     "canonical_json",
-    """SELECT o_orderkey, '{"a":"' || o_orderstatus || '","b":"' || o_orderpriority || '"}' AS body FROM orders""",
+    """SELECT o_orderkey, '{"a":[{"c":' || o_custkey || ',"z":"' || o_orderstatus || '"},{"c":null,"z":"x"}],"b":"'
+         || o_orderpriority || '"}' AS body FROM orders""",
 )
 def _(spark, sf):
-    pairs = F.create_map(F.lit("b"), F.col("o_orderpriority"), F.lit("a"), F.col("o_orderstatus"))
-    return V.table(spark, sf, "orders").select("o_orderkey", canonical_json(pairs).alias("body"))
+    """Keys out of order at both depths, in objects and in objects of a list."""
+    inner = F.struct(F.col("o_orderstatus").alias("z"), F.col("o_custkey").alias("c"))
+    other = F.struct(F.lit("x").alias("z"), F.lit(None).cast("bigint").alias("c"))
+    value = F.struct(F.col("o_orderpriority").alias("b"), F.array(inner, other).alias("a"))
+    return V.table(spark, sf, "orders").select("o_orderkey", canonical_json(value).alias("body"))
 
 
 # --- A2-A9, J7, P20, P21, W13, S4 --------------------------------------------------
