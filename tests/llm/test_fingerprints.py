@@ -1,10 +1,12 @@
 import hashlib
+import math
 import random
 from collections import Counter
 
 import pytest
+import xxhash
 
-from framefold.llm.fingerprints import as_text, edited, find_near, fingerprint_of, fingerprints, likeness
+from framefold.llm.fingerprints import _MIX, as_text, edited, find_near, fingerprint_of, fingerprints, likeness
 from tests.llm.data import ROWS, empty, odd
 
 
@@ -85,3 +87,30 @@ def test_near_copies_are_found_at_the_default_radius(spark):
     want = {(as_text(a), as_text(p), (a ^ p).bit_count()) for a in asks for p in points if (a ^ p).bit_count() <= 17}
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert (as_text(near[0]), as_text(near[1])) in {(r.query, r.fingerprint) for r in got}
+
+
+def test_votes_are_those_of_plain_arithmetic():
+    """Term hashes vote bit by bit, each distinct term with its weight and the logarithm of its count."""
+    full = (1 << 64) - 1
+    salts = [int(x) for x in _MIX]
+
+    def mixed(x, salt):
+        x = ((x ^ (x >> 32)) * salts[salt]) & full
+        return x ^ (x >> 29)
+
+    rng = random.Random(4)
+    texts = ["a", "a b", "a a a a", "Zoë ging 12 zoë GING"] + [" ".join(rng.choices("abcdefgh", k=n)) for n in (3, 7, 40, 300)]
+    for text in texts:
+        hashes = [xxhash.xxh64_intdigest(w) for w in text.lower().encode().split()]
+        one = [mixed(h, 0) for h in hashes]
+        two = [mixed((x + mixed(h, 1)) & full, 0) for x, h in zip(one, hashes[1:])]
+        three = [mixed((x + mixed(h, 2)) & full, 1) for x, h in zip(two, hashes[2:])]
+        votes = [0.0] * 128
+        for terms, weight in zip((one, two, three), (0.25, 0.75, 1.0)):
+            for term, n in Counter(terms).items():
+                halves = [mixed(term, k) ^ (term * salts[k + 1] & full) for k in (0, 1)]
+                for bit in range(128):
+                    sign = 1 if halves[bit // 64] >> (bit % 64) & 1 else -1
+                    votes[bit] += sign * weight * (1 + math.log(n))
+        got = fingerprint_of(text)
+        assert all((got >> bit & 1) == (v > 0) for bit, v in enumerate(votes) if abs(v) > 1e-3), text
