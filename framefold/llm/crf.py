@@ -4,6 +4,9 @@ The words of many documents form one chain that starts anew at each document. Th
 folded into about sqrt(n) pieces of equal length and the recursions run over all pieces at
 once: first each piece's product of transition matrices, then the pieces one after the other,
 then inside all pieces. The result is that of the plain recursions, for texts of any length.
+
+A worker holds the scores of the words it knows (some 100 MB at most), the features of ``SCORED_WORDS``
+new ones and one chain, which has ``CHAIN_WORDS`` words unless one text has more.
 """
 
 from __future__ import annotations
@@ -18,10 +21,13 @@ import numpy as np
 #: Words: runs of letters of any script.
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 18
-#: Distinct words a worker remembers before it forgets all.
+#: Distinct words, and letters in them, that a worker remembers before it forgets all.
 KNOWN_WORDS = 400_000
-#: Words that are decoded together, unless one document has more.
-CHAIN_WORDS = 400_000
+KNOWN_LETTERS = 16_000_000
+#: Words whose features are made together.
+SCORED_WORDS = 16_000
+#: Words that are decoded together, unless one document has more. Posteriors do not depend on it.
+CHAIN_WORDS = 50_000
 
 
 def marginals(emit: np.ndarray, transition: np.ndarray, start: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -136,20 +142,24 @@ class Decoder:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.letters = 0
         self.table = np.zeros((1024, len(self.model.labels)))
 
     def rows(self, words: list[str]) -> np.ndarray:
         known = self.known
         fresh = [w for w in dict.fromkeys(words) if w not in known]
         if fresh:
-            if len(known) + len(fresh) > KNOWN_WORDS:
+            if len(known) + len(fresh) > KNOWN_WORDS or self.letters > KNOWN_LETTERS:
                 self.forget()
                 known = self.known
                 fresh = list(dict.fromkeys(words))
+            self.letters += sum(map(len, fresh))
             at = len(known)
             while at + len(fresh) > len(self.table):
                 self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-            self.table[at : at + len(fresh)] = self.model.scores(fresh, self.features)
+            for k in range(0, len(fresh), SCORED_WORDS):
+                some = fresh[k : k + SCORED_WORDS]
+                self.table[at + k : at + k + len(some)] = self.model.scores(some, self.features)
             known.update(zip(fresh, range(at, at + len(fresh))))
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
