@@ -16,12 +16,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framefold.llm.common import documents, id_remainder, query
+from framefold.llm.common import documents, id_remainder, land, query
 from framefold.llm.crf import WORD, Decoder, Model, train
+from framefold.llm.words import pieces
 
-#: Documents of each language that are learned from at most, and languages: the most frequent ones.
+#: Documents of each language that are learned from at most.
 SAMPLE = 150
-LANGUAGES = 64
+#: Chosen ids of all languages up to which they are broadcast to find their texts; more are joined by shuffling.
+CHOSEN_IDS = 100_000
 FOLDS = 3
 HELD_OUT = 1
 ROUNDS = 15
@@ -45,26 +47,27 @@ def features(word: str) -> list[str]:
     return parts
 
 
-def training_rows(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> list[tuple[str, str]]:
-    """(text, lang) of at most ``sample`` documents of each of the ``languages`` most frequent languages.
+def training_rows(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str]]:
+    """(text, lang) of at most ``sample`` documents of each language, one row for each id chosen.
 
-    Ids are chosen first, by their hash, so other texts do not move.
+    Ids are chosen first, by their hash, so other texts do not move. Of rows that repeat an id and language the one
+    with the smallest text hash counts.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(
         id_remainder(F.col("doc_id"), FOLDS) != HELD_OUT
     )
-    often = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = (
-        known.select("doc_id", "lang")
-        .join(F.broadcast(often), "lang")
-        .withColumn("n", F.row_number().over(by_hash))
-        .where(F.col("n") <= sample)
-        .select("doc_id", "lang")
-        .distinct()  # at most sample * languages ids
+    ids = known.select("doc_id", "lang").withColumn("n", F.dense_rank().over(by_hash)).where(F.col("n") <= sample)
+    few = land(ids.select("doc_id", "lang").distinct(), "chosen-ids")
+    if few.count() <= CHOSEN_IDS:
+        few = F.broadcast(few)
+    rows = (
+        known.select("doc_id", "lang", "text")
+        .join(few, ["doc_id", "lang"])
+        .groupBy("doc_id", "lang")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     )
-    rows = known.select("doc_id", "lang", "text").join(F.broadcast(few), ["doc_id", "lang"])
-    return [(r["text"], r["lang"]) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    return [(r["text"], r["lang"]) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").collect()]
 
 
 def fit(rows: list[tuple[str, str]], rounds: int = ROUNDS) -> Model:
@@ -106,13 +109,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     ``und`` with score 0 if the text is null or has no letter, or if no language could be learned. Repeated rows get
     equal results; other columns than ``doc_id`` and ``text`` are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # hashed weights for at most LANGUAGES labels
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # hashed weights for each language
     key = uuid.uuid4().hex
     labels = model.labels
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = decoder_of(key, shared)
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             texts = batch.column(2).to_pylist()
             langs: list[str] = []
             scores: list[float] = []
@@ -146,13 +149,13 @@ def keep_known(docs: DataFrame, model: Model, least: float = LEAST_SHARE) -> Dat
 
     Null texts and texts without a letter go. If no language could be learned, only those go.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # hashed weights for at most LANGUAGES labels
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # hashed weights for each language
     key = uuid.uuid4().hex
     learned = bool(model.labels)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             texts = batch.column(at).to_pylist()
             if learned:
                 decoder = decoder_of(key, shared)

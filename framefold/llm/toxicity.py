@@ -22,7 +22,7 @@ from framefold.llm.crf import WORD, Decoder, Model, train
 
 #: Clean and toxic documents that are learned from at most, those with the smallest hashes of their id.
 SAMPLE = (2400, 800)
-#: Of these, clean and toxic ones whose words the chain is fitted to.
+#: Of these, clean and toxic ones whose words the chain is fitted to: those with the smallest hashes that have words.
 CHAIN_SAMPLE = (600, 400)
 #: Toxic documents in which a word or affix must occur to tag words, and how much rarer it must be in clean ones.
 LEAST_DOCUMENTS = 3
@@ -56,7 +56,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] =
     """(text, label) of at most ``sample`` labelled documents of the labels 0 and 1, outside the held-out fold.
 
     Ids are chosen first, so texts of other documents do not move. Null labels are no labels; a document
-    with both labels counts as toxic.
+    with both labels counts as toxic. Of rows that repeat an id the one with the smallest text hash counts. Rows come
+    in the order of the ids' hashes.
     """
     chosen = (
         labels.where("toxic is not null")
@@ -68,8 +69,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] =
         chosen.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[label]) for label in (0, 1)
     ]
     few = parts[0].union(parts[1])  # ids, at most sum(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").orderBy("doc_id", F.xxhash64("text")).collect()
-    return [(r["text"] or "", r["toxic"]) for r in rows]
+    rows = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(few), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min_by("text", F.coalesce(F.xxhash64("text"), F.lit(0))).alias("text"), F.max("toxic").alias("toxic"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+    )
+    return [(r["text"] or "", r["toxic"]) for r in rows.collect()]
 
 
 def toxic_features(sample: list[tuple[list[str], int]], least: int = LEAST_DOCUMENTS, ratio: float = RATIO) -> set[str]:

@@ -1,4 +1,6 @@
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -133,3 +135,43 @@ def test_very_long_text_is_read_to_its_end():
     (_, counts, posterior), *_ = Decoder(model, toxicity.features).decode([LONG + " scoundrel"])
     assert counts.tolist() == [len(WORD.findall(LONG)) + 1] and posterior[-1, 1] > 0.5
     assert isinstance(model, Model)
+
+
+def test_pieces_and_short_chains_change_nothing(monkeypatch):
+    from framefold.llm import crf
+
+    model = fitted()
+    rng = random.Random(8)
+    docs = [" ".join(rng.choice(SAMPLES["en"].split() + SAMPLES["de"].split()) + "x" * rng.randrange(3) for _ in range(40)) for _ in range(9)]
+    whole = np.concatenate([p for _, _, p in crf.Decoder(model, language.features).decode(docs)])
+    for name, value in (("SCORED_WORDS", 7), ("CHAIN_WORDS", 90), ("KNOWN_LETTERS", 200)):
+        monkeypatch.setattr(crf, name, value)
+    parts = list(crf.Decoder(model, language.features).decode(docs))
+    assert len(parts) > 3 and np.allclose(np.concatenate([p for _, _, p in parts]), whole)
+
+
+def test_memory_of_many_new_words():
+    """Scoring 400,000 different words takes less than 300 MB beside the model."""
+    code = (
+        "import resource, numpy as np\n"
+        "from framefold.llm import crf, language\n"
+        "size = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1000\n"
+        "model = crf.Model(['a', 'b', 'c', 'd'], np.zeros((crf.BUCKETS, 4), np.float32), np.zeros((4, 4)), np.zeros(4))\n"
+        "text = ' '.join('word' + ''.join(chr(97 + int(d)) for d in str(i)) for i in range(400_000))\n"
+        "before = size()\n"
+        "n = sum(int(c.sum()) for _, c, _ in crf.Decoder(model, language.features).decode(text.split()))\n"
+        "print(n, size() - before)\n"
+    )
+    n, more = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
+    assert int(n) == 400_000 and float(more) < 300
+
+
+def test_every_language_is_learned_and_repeated_ids_count_once(spark):
+    rows = [(i, f"text {i}", f"l{i % 70:02d}", "s") for i in range(700)]
+    rows += [(2, f"text 2 again {n}", "l02", "s") for n in range(500)]
+    found = language.training_rows(odd(spark, rows), sample=4)
+    assert {lang for _, lang in found} == {f"l{i:02d}" for i in range(70)}
+    assert all(sum(x == lang for _, x in found) <= 4 for lang in ("l02", "l69"))
+    labels = spark.createDataFrame([(i, 1) for i in range(700)], "doc_id bigint, toxic int")
+    texts_of_2 = [t for t, _ in toxicity.training_rows(odd(spark, rows), labels) if t.startswith("text 2 ") or t == "text 2"]
+    assert len(texts_of_2) <= 1
