@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framefold.llm.common import documents, query
+from framefold.llm.common import documents, land, query
 from framefold.session import scratch_dir
 
 SHARDS = 8
@@ -24,6 +24,8 @@ SEED = 20_240_501
 BUCKET_BYTES = 16 << 20
 #: Buckets are numbered on in blocks of so many.
 BLOCK = 1024
+#: Hashes of repeated records that are broadcast at most.
+REPEATS = 1_000_000
 
 _BUCKET, _FIRST, _AT, _SHARD, _SLOT, _COPY = (f"__{n}" for n in ("bucket", "first", "at", "shard", "slot", "copy"))
 
@@ -52,19 +54,29 @@ def _order_key(docs: DataFrame, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _numbered(docs: DataFrame, seed: int) -> DataFrame:
+def _numbered(docs: DataFrame, seed: int, repeats: int = REPEATS) -> DataFrame:
     """The records with their hash, and equal records numbered from 0.
 
     Equal records are interchangeable, so those that repeat are counted, by value, and written out again with their
-    numbers: no group of them is gathered, however many there are.
+    numbers: no group of them is gathered, however many there are. Which repeat is found from the hashes alone. While
+    at most ``repeats`` hashes do, they are broadcast, and all other records stay where they are; more records are
+    counted all, so texts are shuffled once for it.
     """
-    placed = docs.withColumn(_AT, _order_key(docs, seed))
-    repeated = placed.groupBy(_AT).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(_AT)
-    single = placed.join(repeated, _AT, "left_anti").withColumn(_COPY, F.lit(0).cast("bigint"))
     names = [f"`{c}`" for c in docs.columns]
-    copies = placed.join(repeated, _AT, "left_semi").groupBy(*names, _AT).agg(F.count(F.lit(1)).alias(_COPY))
-    copies = copies.withColumn(_COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(_COPY) - 1)))
-    return single.select(*names, _AT, _COPY).union(copies.select(*names, _AT, _COPY))
+    first = F.lit(0).cast("bigint")
+    placed = docs.withColumn(_AT, _order_key(docs, seed))
+    counts = placed.groupBy(_AT).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = land(counts.where("_n > 1").select(_AT), "repeated")
+    found = repeated.count()
+    if not found:
+        return placed.withColumn(_COPY, first)
+    several = placed if found > repeats else placed.join(F.broadcast(repeated), _AT, "left_semi")
+    copies = several.groupBy(*names, _AT).agg(F.count(F.lit(1)).alias(_COPY))
+    copies = copies.withColumn(_COPY, F.explode(F.sequence(first, F.col(_COPY) - 1))).select(*names, _AT, _COPY)
+    if found > repeats:
+        return copies
+    single = placed.join(F.broadcast(repeated), _AT, "left_anti").withColumn(_COPY, first)
+    return single.select(*names, _AT, _COPY).union(copies)
 
 
 def _bucketed(docs: DataFrame, seed: int, bucket_bytes: int) -> tuple[DataFrame, int]:

@@ -60,3 +60,24 @@ def test_a_record_repeated_very_often_spreads(spark, tmp_path):
     assert rows == sum(sizes) == 100_050 and max(sizes) < 1.5 * rows / len(sizes) and len(sizes) > 50
     out = shuffled_shards(docs, str(tmp_path / "o"), bucket_bytes=20_000)
     assert Counter(r["text"] for r in out.select("text").collect()) == {"the same text": 100_000, "another": 50}
+
+
+def test_texts_stay_in_place_until_they_are_bucketed(spark):
+    """Numbering equal records moves hashes, and of the texts only those that repeat."""
+    docs = odd(spark).dropDuplicates().localCheckpoint()
+    plan = sharding._numbered(docs, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    some = docs.union(docs.limit(7)).union(docs.limit(3))
+    plan = sharding._numbered(some, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
+def test_copies_are_numbered_alike_however_many_repeat(spark):
+    docs = odd(spark)
+    docs = docs.union(docs.limit(7)).union(docs.limit(3))
+    few, many = (
+        Counter((r["doc_id"], r["text"], r["__copy"]) for r in sharding._numbered(docs, 1, n).collect())
+        for n in (1000, 0)
+    )
+    rows = Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    assert few == many == Counter((*row, k) for row, n in rows.items() for k in range(n))
