@@ -7,14 +7,15 @@ drains it. State and checkpoints live in the folder the caller names.
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from framefold.constants import TERMINAL_JOB_STATUSES
@@ -25,6 +26,9 @@ from framefold.sources.index_table import append_index
 #: Batches that a published view gathers before they are compacted.
 COMPACT_EVERY = 16
 
+#: Jobs of the timed streams share a state row by their hash; one is small up to many millions of jobs.
+JOB_BUCKETS = 1 << 14
+
 
 # Stream workers need not be able to import this package: what they run is sent by value.
 register_pickle_by_value(sys.modules[__name__])
@@ -60,47 +64,72 @@ def terminal_jobs(status: DataFrame, job: str = "job_id", ts: str = "ts") -> Dat
     return done.groupBy(job).agg(first).select(job, "_first.status", f"_first.{ts}")
 
 
-class _FirstEnd(StatefulProcessor):
-    """Per job: report its first terminal status by time once no earlier one can come, forget it later."""
+class _JobBucket:
+    """The jobs of one bucket: polls change their states, event time reports and forgets them; see ``_by_buckets``."""
 
     def __init__(self, keep_seconds: int):
         self.keep_ms = keep_seconds * 1000
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.job = handle.getValueState("job", "first_us bigint, status string, last_ms bigint, told boolean, timer_ms bigint")
-
-    def handleInputRows(self, key, rows, timerValues):
-        first, last, told, timer = None, None, False, None
-        if self.job.exists():
-            at, status, last, told, timer = self.job.get()
-            first = (at, status)
-        for frame in rows:
-            stamps = frame["ts"].map(lambda t: t.value // 1000)
-            low = min(zip(stamps.tolist(), frame["status"].tolist()))
-            first = low if first is None or (not told and low < first) else first
-            high = int(stamps.max()) // 1000
-            last = high if last is None else max(last, high)
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        self._save(first, last, told)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        at, status, last, told, _ = self.job.get()
+    def step(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        jobs = {job: tuple(kept) for job, *kept in zip(*state.get)} if state.exists else {}
+        if not state.hasTimedOut:
+            for frame in frames:
+                frame = frame[frame["ts"].notna()]
+                times = frame["ts"].to_numpy("datetime64[us]").astype("int64").tolist()
+                for job, status, at in zip(frame["job_id"].tolist(), frame["status"].tolist(), times):
+                    jobs[job] = self.polled(jobs.get(job), status, at)
+        now, told = state.getCurrentWatermarkMs(), []
+        for job, kept in [(j, k) for j, k in jobs.items() if self.due(k) <= now]:
+            if not kept[-1]:
+                told.append((job, *self.report(kept)))
+                jobs[job] = kept = self.reported(kept)
+            if self.due(kept) <= now:
+                del jobs[job]
         if told:
-            self.job.clear()
+            yield pd.DataFrame(told, columns=self.columns)
+        if not jobs:
+            if state.exists:
+                state.remove()
             return
-        self._save((at, status), last, True)
-        yield pd.DataFrame({"job_id": [key[0]], "status": [status], "ts": [pd.Timestamp(at, unit="us")]})
+        state.update((list(jobs), *map(list, zip(*jobs.values()))))
+        # A timeout is due when the watermark is beyond it.
+        state.setTimeoutTimestamp(max(min(map(self.due, jobs.values())) - 1, now, 1))
+
+
+class _FirstEnds(_JobBucket):
+    """Per job: report its first terminal status by time once no earlier one can come, forget it later."""
+
+    columns = ["job_id", "status", "ts"]
+    kept = "job array<string>, first_us array<bigint>, status array<string>, last_ms array<bigint>, told array<boolean>"
 
-    def _save(self, first: tuple[int, str], last: int, told: bool) -> None:
-        timer = last + self.keep_ms if told else first[0] // 1000
-        self.handle.registerTimer(timer)
-        self.job.update((int(first[0]), first[1], last, told, timer))
+    def polled(self, kept, status, at):
+        if kept is None:
+            return at, status, at // 1000, False
+        first, ended, last, told = kept
+        if not told and (at, status) < (first, ended):
+            first, ended = at, status
+        return first, ended, max(last, at // 1000), told
 
-    def close(self) -> None:
-        pass
+    def due(self, kept) -> int:
+        return kept[2] + self.keep_ms if kept[3] else kept[0] // 1000
+
+    def report(self, kept):
+        return kept[1], pd.Timestamp(kept[0], unit="us")
+
+    def reported(self, kept):
+        return *kept[:3], True
+
+
+def _by_buckets(status: DataFrame, bucket: _JobBucket, out: str) -> DataFrame:
+    """Run ``bucket`` over ``status``, with its jobs in ``JOB_BUCKETS`` buckets by their hash.
+
+    A call and a state row serve all jobs of a bucket, which is what a job costs otherwise: the calls of a batch are at
+    most as many as the buckets. State comes with the rows and holds only jobs that are not forgotten.
+    """
+    hashed = status.withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(JOB_BUCKETS)))
+    return hashed.groupBy("bucket").applyInPandasWithState(
+        bucket.step, out, bucket.kept, "append", GroupStateTimeout.EventTimeTimeout
+    )
 
 
 def terminal_jobs_stream(status: DataFrame, delay: str, keep_seconds: int = 7 * 86400) -> DataFrame:
@@ -108,23 +137,12 @@ def terminal_jobs_stream(status: DataFrame, delay: str, keep_seconds: int = 7 *
 
     It is reported when event time has passed that status by ``delay``, so reports that are late by less cannot change
     it. A job is remembered until ``keep_seconds`` after its last terminal report, so later repeats do not report it
-    anew; then its state goes. Only terminal polls reach the state. Needs the RocksDB state store. ``status`` has
-    job_id, status, ts.
+    anew; then its state goes. Only terminal polls reach the state. ``status`` has job_id, status, ts.
     """
     # A condition on the time as well stays above the watermark, so that all polls move it.
     ended_at = F.when(F.col("status").isin(*TERMINAL_JOB_STATUSES), F.col("ts"))
-    return (
-        status.select("job_id", "status", "ts")
-        .withWatermark("ts", delay)
-        .where(ended_at.isNotNull())
-        .groupBy("job_id")
-        .transformWithStateInPandas(
-            statefulProcessor=_FirstEnd(keep_seconds),
-            outputStructType="job_id string, status string, ts timestamp",
-            outputMode="append",
-            timeMode="eventTime",
-        )
-    )
+    polls = status.select("job_id", "status", "ts").withWatermark("ts", delay).where(ended_at.isNotNull())
+    return _by_buckets(polls, _FirstEnds(keep_seconds), "job_id string, status string, ts timestamp")
 
 
 def status_view(status: DataFrame, job: str = "job_id", ts: str = "ts") -> DataFrame:
@@ -147,44 +165,28 @@ def stalled_jobs(status: DataFrame, now, max_wait_seconds: int, job: str = "job_
     return seen.where(~F.col("_done") & (waited > max_wait_seconds)).drop("_done")
 
 
-class _StallTimer(StatefulProcessor):
-    """Per job: fire once when the limit passes without a terminal status, forget ended and reported jobs later."""
+class _Stalls(_JobBucket):
+    """Per job: report once when the limit passes without a terminal status, forget ended and reported jobs later."""
+
+    columns = ["job_id", "first_ts"]
+    kept = "job array<string>, first_ms array<bigint>, last_ms array<bigint>, closed array<boolean>"
 
     def __init__(self, max_wait_seconds: int, keep_seconds: int):
+        super().__init__(keep_seconds)
         self.max_wait_ms = max_wait_seconds * 1000
-        self.keep_ms = keep_seconds * 1000
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.job = handle.getValueState("job", "first_ms bigint, last_ms bigint, closed boolean, timer_ms bigint")
-
-    def handleInputRows(self, key, rows, timerValues):
-        first, last, closed, timer = self.job.get() if self.job.exists() else (None, None, False, None)
-        for frame in rows:
-            low, high = (int(t.value // 1_000_000) for t in (frame["ts"].min(), frame["ts"].max()))
-            first = low if first is None else min(first, low)
-            last = high if last is None else max(last, high)
-            closed = closed or bool(frame["status"].isin(TERMINAL_JOB_STATUSES).any())
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        self._save(first, last, closed)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        first, last, closed, _ = self.job.get()
-        if closed:
-            self.job.clear()
-            return
-        self._save(first, max(last, first + self.max_wait_ms), True)
-        yield pd.DataFrame({"job_id": [key[0]], "first_ts": [pd.Timestamp(first, unit="ms")]})
+    def polled(self, kept, status, at):
+        first, last, closed = kept or (at // 1000, at // 1000, False)
+        return min(first, at // 1000), max(last, at // 1000), closed or status in TERMINAL_JOB_STATUSES
+
+    def due(self, kept) -> int:
+        return kept[1] + self.keep_ms if kept[2] else kept[0] + self.max_wait_ms
 
-    def _save(self, first: int, last: int, closed: bool) -> None:
-        timer = last + self.keep_ms if closed else first + self.max_wait_ms
-        self.handle.registerTimer(timer)
-        self.job.update((first, last, closed, timer))
+    def report(self, kept):
+        return (pd.Timestamp(kept[0], unit="ms"),)
 
-    def close(self) -> None:
-        pass
+    def reported(self, kept):
+        return kept[0], max(kept[1], kept[0] + self.max_wait_ms), True
 
 
 def stalled_jobs_stream(
@@ -193,19 +195,10 @@ def stalled_jobs_stream(
     """Streaming form: a job is reported once, when event time passes its limit without a terminal status.
 
     Ended and reported jobs are remembered for ``keep_seconds`` after their last report, so that later polls do
-    not open them anew. Needs the RocksDB state store. ``status`` has job_id, status, ts.
+    not open them anew. ``status`` has job_id, status, ts.
     """
-    return (
-        status.select("job_id", "status", "ts")
-        .withWatermark("ts", delay)
-        .groupBy("job_id")
-        .transformWithStateInPandas(
-            statefulProcessor=_StallTimer(max_wait_seconds, keep_seconds),
-            outputStructType="job_id string, first_ts timestamp",
-            outputMode="append",
-            timeMode="eventTime",
-        )
-    )
+    polls = status.select("job_id", "status", "ts").withWatermark("ts", delay)
+    return _by_buckets(polls, _Stalls(max_wait_seconds, keep_seconds), "job_id string, first_ts timestamp")
 
 
 def drain_fresh(

@@ -103,6 +103,32 @@ def test_terminal_jobs_with_expiry(spark, tmp_path):
     assert before >= 52 and after == 0
 
 
+@pytest.mark.parametrize("name", ["terminal", "stalled"])
+def test_jobs_share_calls_and_state_rows(spark, tmp_path, monkeypatch, name):
+    """Many jobs of a bucket are told apart, each at its time, and cost one state row."""
+    monkeypatch.setattr(S, "JOB_BUCKETS", 2)
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+
+    def run(*rows):
+        land(spark, src, [(j, s, T0 + timedelta(minutes=m)) for j, s, m in rows])
+        polls = stream(spark, src)
+        if name == "terminal":
+            told = S.terminal_jobs_stream(polls, "10 minutes", keep_seconds=3600)
+        else:
+            told = S.stalled_jobs_stream(polls, 600, "0 seconds", keep_seconds=3600)
+        query = S.drain(told, out, ck)
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    status = "FAILED" if name == "terminal" else "UNKNOWN"
+    assert run(*[(f"j{i}", status, i) for i in range(40)], ("x", "UNKNOWN", 39)) <= 2
+    told = [r[0] for r in spark.read.parquet(out).select("job_id").collect()]
+    assert sorted(told) == sorted(f"j{i}" for i in range(30))
+    run(("j3", status, 41), ("y", "UNKNOWN", 60))  # remembered: not told again
+    told = spark.read.parquet(out).where("job_id like 'j%'").select("job_id", F.col(f"`{'ts' if name == 'terminal' else 'first_ts'}`"))
+    assert sorted(tuple(r) for r in told.collect()) == sorted((f"j{i}", T0 + timedelta(minutes=i)) for i in range(40))
+
+
 def test_published_view_is_compacted(spark, tmp_path, monkeypatch):
     src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
     build = lambda: S.status_view(stream(spark, src))
