@@ -124,9 +124,9 @@ class TokenizerPair:
         marked[inner] = self.spaced_a[a[at_a[inner] + 1]] & self.spaced_b[b[at_b[inner] + 1]]
         return at_a[marked] + 1, at_b[marked] + 1
 
-    def windows(self, a: np.ndarray, b: np.ndarray) -> pa.Array:
+    def windows(self, a: np.ndarray, b: np.ndarray, anchors: tuple[np.ndarray, np.ndarray] | None = None) -> pa.Array:
         """The id tuples between anchors as little-endian unsigned 32-bit ids, those of B raised by the ids of A."""
-        to_a, to_b = self.anchors(a, b)
+        to_a, to_b = anchors or self.anchors(a, b)
         from_a, from_b = (np.concatenate(([0], to[:-1])) if len(to) else to for to in (to_a, to_b))
         ids = np.empty(len(a) + len(b), "<u4")
         ids[np.arange(len(a)) + np.repeat(from_b, to_a - from_a)] = a
@@ -183,7 +183,8 @@ class TokenizerPair:
         Equal windows of the texts are aligned or looked up once.
         """
         a, b = (np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids))) for ids in (all_a, all_b))
-        found = self.windows(a, b).dictionary_encode()
+        anchors = self.anchors(a, b)
+        found = self.windows(a, b, anchors).dictionary_encode()
         number = found.indices.to_numpy(zero_copy_only=False)
         known = [self.remembered(w) for w in found.dictionary.to_pylist()]
         groups = pa.array([g for g, _ in known], pa.large_string()).take(pa.array(number))
@@ -192,8 +193,7 @@ class TokenizerPair:
         sizes, begin = size[number], (np.cumsum(size) - size)[number]
         total = np.concatenate(([0], np.cumsum(sizes)))
         links = links[np.arange(total[-1]) + np.repeat(begin - total[:-1], sizes)]
-        _, ends = self.anchors(a, b)
-        texts = np.concatenate(([0], np.searchsorted(ends, np.cumsum([len(x) for x in all_b]), "right")))
+        texts = np.concatenate(([0], np.searchsorted(anchors[1], np.cumsum([len(x) for x in all_b]), "right")))
         listed = pa.ListArray.from_arrays(pa.array(texts, pa.int32()), groups)
         joined = pc.binary_join(listed, pa.scalar(";", pa.large_string()))
         return joined.cast(pa.string()), np.diff(total[texts]), links

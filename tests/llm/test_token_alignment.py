@@ -112,3 +112,11 @@ def test_groups_are_returned_as_text(spark):
 def test_planes_round_trip():
     values = np.array([0, 1, 255, 256, 70_000, 2**32 - 1])
     assert from_planes(planes(values)).tolist() == values.tolist() and from_planes(planes(values[:0])).tolist() == []
+
+
+def test_anchors_of_a_piece_are_found_once(monkeypatch):
+    pair, calls = tokenizer_pair(*default_tokenizers()), []
+    anchors = pair.anchors
+    monkeypatch.setattr(pair, "anchors", lambda a, b: calls.append(1) or anchors(a, b))
+    groups, sizes, links = pair.aligned(*pair.encode(["two words", "", "tail"]))
+    assert len(groups) == len(sizes) == 3 and sum(sizes) == len(links) > 0 and calls == [1]
