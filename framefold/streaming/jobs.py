@@ -74,10 +74,13 @@ class _JobBucket:
         jobs = {job: tuple(kept) for job, *kept in zip(*state.get)} if state.exists else {}
         if not state.hasTimedOut:
             for frame in frames:
-                frame = frame[frame["ts"].notna()]
+                frame = frame.sort_values("ts")  # polls without a time come last
                 times = frame["ts"].to_numpy("datetime64[us]").astype("int64").tolist()
-                for job, status, at in zip(frame["job_id"].tolist(), frame["status"].tolist(), times):
-                    jobs[job] = self.polled(jobs.get(job), status, at)
+                timed = frame["ts"].notna().tolist()
+                for job, status, at, known in zip(frame["job_id"].tolist(), frame["status"].tolist(), times, timed):
+                    kept = self.polled(jobs.get(job), status, at if known else None)
+                    if kept is not None:
+                        jobs[job] = kept
         now, told = state.getCurrentWatermarkMs(), []
         for job, kept in [(j, k) for j, k in jobs.items() if self.due(k) <= now]:
             if not kept[-1]:
@@ -176,6 +179,8 @@ class _Stalls(_JobBucket):
         self.max_wait_ms = max_wait_seconds * 1000
 
     def polled(self, kept, status, at):
+        if at is None:  # it can end a wait, not begin one
+            return kept and (*kept[:2], kept[2] or status in TERMINAL_JOB_STATUSES)
         first, last, closed = kept or (at // 1000, at // 1000, False)
         return min(first, at // 1000), max(last, at // 1000), closed or status in TERMINAL_JOB_STATUSES
 

@@ -129,6 +129,13 @@ def test_jobs_share_calls_and_state_rows(spark, tmp_path, monkeypatch, name):
     assert sorted(tuple(r) for r in told.collect()) == sorted((f"j{i}", T0 + timedelta(minutes=i)) for i in range(40))
 
 
+def test_a_poll_without_a_time_ends_a_wait():
+    stalls = S._Stalls(600, 3600)
+    assert stalls.polled(None, "FAILED", None) is None
+    assert stalls.polled((1, 2, False), "FAILED", None) == (1, 2, True)
+    assert stalls.polled((1, 2, False), "UNKNOWN", None) == (1, 2, False)
+
+
 def test_published_view_is_compacted(spark, tmp_path, monkeypatch):
     src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
     build = lambda: S.status_view(stream(spark, src))
