@@ -2,8 +2,8 @@
 
 Both tokenizers encode the whole text. Where tokens of both end at the same byte and the next token of
 both is marked by a space stands an anchor; anchors split a text into windows of a few tokens, mostly a
-word. A window's alignment depends on its ids alone, so it is made once for each pair of id tuples and
-remembered, up to ``MEMO`` windows a worker; a piece of texts looks up each different window once.
+word. A window's alignment depends on its ids alone, so a piece of texts aligns each different window once,
+up to ``MEMO`` of them together by arrays.
 
 Counts over the corpus are gathered by chunks: a chunk is a bounded stretch of texts of one task, with the
 distinct id pairs it links, numbered from 0. Only a chunk's distinct pairs are shuffled to be counted, one
@@ -11,7 +11,7 @@ row for each chunk however often a pair stands in it; its texts keep the numbers
 the counts again in a co-group by chunk. Nothing is broadcast by hint and no pair is a hot key.
 
 A worker holds a piece of ``PIECE_BYTES`` of text (or one longer text, at some 100 bytes for each byte of
-it), the memo, and at most ``CHUNK_PAIRS`` pairs and those of one more piece.
+it), and at most ``CHUNK_PAIRS`` pairs and those of one more piece.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from framefold.llm.packing import encoder
 from framefold.llm.words import pieces
 
 PIECE_BYTES = 1 << 20
+#: Different windows aligned at a time.
 MEMO = 300_000
 CHUNK_PAIRS, CHUNK_TEXTS = 200_000, 20_000
 #: Low bits of a link's key hold the pair, high bits the text's place in its piece.
@@ -81,8 +82,11 @@ class TokenizerPair:
         self.spaced_a = np.array([x.startswith(b" ") for x in self.bytes_a])
         self.spaced_b = np.array([x.startswith(b" ") for x in self.bytes_b])
         self.spelled_a, self.spelled_b = _table(self.bytes_a), _table(self.bytes_b)
-        self.size_a, self.size_b = self.length_a.tolist(), self.length_b.tolist()
-        self.memo: dict[bytes, tuple[str, bytes]] = {}
+        # Ids as windows hold them, three times: inside a side of a group, closing the side, and closing the window.
+        numbers = [*map(str, range(len(self.bytes_a))), *map(str, range(len(self.bytes_b)))]
+        closing = ["|"] * len(self.bytes_a) + [";"] * len(self.bytes_b)
+        texts = [n + "," for n in numbers] + [n + c for n, c in zip(numbers, closing)] + numbers
+        self.written = pa.array(texts, pa.large_string())
 
     def _token(self, i: int) -> bytes:
         try:
@@ -113,16 +117,20 @@ class TokenizerPair:
 
         Texts may follow one another: each starts with a marked token.
         """
+        at_a, at_b = self.shared(a, b)
+        inner = at_b + 1 < len(b)
+        marked = ~inner
+        marked[inner] = self.spaced_a[a[at_a[inner] + 1]] & self.spaced_b[b[at_b[inner] + 1]]
+        return at_a[marked] + 1, at_b[marked] + 1
+
+    def shared(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``a`` and in ``b`` of the tokens that end together; both spell the same bytes."""
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         token_a = np.full(int(ends_a[-1]) + 1 if len(a) else 1, -1)
         token_a[ends_a] = np.arange(len(a))
         token_a = token_a[ends_b]
         at_b = np.flatnonzero(token_a >= 0)
-        at_a = token_a[at_b]
-        inner = at_b + 1 < len(b)
-        marked = ~inner
-        marked[inner] = self.spaced_a[a[at_a[inner] + 1]] & self.spaced_b[b[at_b[inner] + 1]]
-        return at_a[marked] + 1, at_b[marked] + 1
+        return token_a[at_b], at_b
 
     def windows(self, a: np.ndarray, b: np.ndarray, anchors: tuple[np.ndarray, np.ndarray] | None = None) -> pa.Array:
         """The id tuples between anchors as little-endian unsigned 32-bit ids, those of B raised by the ids of A."""
@@ -140,56 +148,44 @@ class TokenizerPair:
         cut = next(k for k, i in enumerate(ids) if i >= n_a)
         return tuple(ids[:cut]), tuple(i - n_a for i in ids[cut:])
 
-    def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
-        """A window's groups as text and its links, one a group, as ``a * n_b + b``."""
-        size_a, size_b, n_b = self.size_a, self.size_b, len(self.bytes_b)
-        groups, links = [], []
-        from_a = from_b = at_a = at_b = 0
-        ahead = size_a[a[0]] - size_b[b[0]]
-        while True:
-            if ahead < 0:
-                at_a += 1
-                ahead += size_a[a[at_a]]
-            elif ahead > 0:
-                at_b += 1
-                ahead -= size_b[b[at_b]]
-            else:
-                last_a, last_b = a[at_a], b[at_b]
-                links.append(last_a * n_b + last_b)
-                if from_a == at_a and from_b == at_b:
-                    groups.append(f"{last_a}|{last_b}")
-                else:
-                    groups.append(
-                        ",".join(map(str, a[from_a : at_a + 1])) + "|" + ",".join(map(str, b[from_b : at_b + 1]))
-                    )
-                at_a, at_b = from_a, from_b = at_a + 1, at_b + 1
-                if from_a == len(a):
-                    return ";".join(groups), links
-                ahead = size_a[a[at_a]] - size_b[b[at_b]]
-
-    def remembered(self, window: bytes) -> tuple[str, bytes]:
-        """The alignment of a window, its links as 64-bit numbers."""
-        known = self.memo.get(window)
-        if known is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            groups, links = self.align(*self.unpacked(window))
-            known = self.memo[window] = groups, np.array(links, "<i8").tobytes()
-        return known
+    def align(self, windows: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Of each window the groups as text and how many links it has; all links, one a group, as ``a * n_b + b``."""
+        _, places, data = windows.buffers()
+        bounds = np.frombuffer(places, np.int64)[windows.offset : windows.offset + len(windows) + 1] // 4
+        ids = np.frombuffer(data, "<u4")[bounds[0] : bounds[-1]].astype(np.int64)
+        bounds = bounds - bounds[0]
+        of_b, n_a, n_b = ids >= len(self.bytes_a), len(self.bytes_a), len(self.bytes_b)
+        a, b = ids[~of_b], ids[of_b] - n_a
+        before_b = np.concatenate(([0], np.cumsum(of_b)))[bounds]
+        at_a, at_b = self.shared(a, b)
+        links = a[at_a] * n_b + b[at_b]
+        # A group's ids of A stand behind all ids of earlier groups, its ids of B behind its ids of A.
+        from_b = np.concatenate(([0], at_b[:-1] + 1))
+        in_a, in_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+        a[at_a] += n_a + n_b
+        b[at_b] += n_a + n_b
+        b[before_b[1:] - 1] += n_a + n_b
+        word = np.empty(len(ids), np.int64)
+        word[np.arange(len(a)) + np.repeat(from_b, in_a)] = a
+        word[np.arange(len(b)) + np.repeat(at_a + 1, in_b)] = b + n_a
+        _, places, data = self.written.take(pa.array(word)).buffers()
+        places = np.frombuffer(places, np.int64)[bounds]
+        groups = pa.Array.from_buffers(pa.large_string(), len(windows), [None, pa.py_buffer(places), data])
+        return groups, np.diff(np.searchsorted(at_b, before_b)), links
 
     def aligned(self, all_a: list[list[int]], all_b: list[list[int]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """For texts one after the other: their groups as text, how many links each has, and all links.
 
-        Equal windows of the texts are aligned or looked up once.
+        Equal windows of the texts are aligned once.
         """
         a, b = (np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids))) for ids in (all_a, all_b))
         anchors = self.anchors(a, b)
         found = self.windows(a, b, anchors).dictionary_encode()
         number = found.indices.to_numpy(zero_copy_only=False)
-        known = [self.remembered(w) for w in found.dictionary.to_pylist()]
-        groups = pa.array([g for g, _ in known], pa.large_string()).take(pa.array(number))
-        links = np.frombuffer(b"".join(x for _, x in known), "<i8")
-        size = np.array([len(x) // 8 for _, x in known], np.int64)
+        different = found.dictionary
+        known = [self.align(different.slice(k, MEMO)) for k in range(0, len(different), MEMO)]
+        groups = pa.concat_arrays([pa.array([], pa.large_string()), *(g for g, _, _ in known)]).take(pa.array(number))
+        size, links = (np.concatenate([np.empty(0, np.int64), *(x[k] for x in known)]) for k in (1, 2))
         sizes, begin = size[number], (np.cumsum(size) - size)[number]
         total = np.concatenate(([0], np.cumsum(sizes)))
         links = links[np.arange(total[-1]) + np.repeat(begin - total[:-1], sizes)]

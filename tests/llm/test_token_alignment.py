@@ -120,3 +120,18 @@ def test_anchors_of_a_piece_are_found_once(monkeypatch):
     monkeypatch.setattr(pair, "anchors", lambda a, b: calls.append(1) or anchors(a, b))
     groups, sizes, links = pair.aligned(*pair.encode(["two words", "", "tail"]))
     assert len(groups) == len(sizes) == 3 and sum(sizes) == len(links) > 0 and calls == [1]
+
+
+def test_windows_of_a_piece_are_aligned_together(monkeypatch):
+    """One call for all new windows of a piece, or for as many as ``MEMO`` allows, with the same results."""
+    pair, calls = tokenizer_pair(*default_tokenizers()), []
+    align = pair.align
+    monkeypatch.setattr(pair, "align", lambda *x: calls.append(1) or align(*x))
+    encoded = pair.encode(["unlikely words meet words", "", "don't I'LL 1 234,5", "🙂🙂 tail\n"])
+    groups, sizes, links = pair.aligned(*encoded)
+    assert len(calls) == 1 and [g.as_py().count(";") + bool(g.as_py()) for g in groups] == sizes.tolist()
+    monkeypatch.setattr(token_alignment, "MEMO", 3)
+    again = pair.aligned(*encoded)
+    assert len(calls) > 2 and again[0].equals(groups)
+    assert again[1].tolist() == sizes.tolist() and again[2].tolist() == links.tolist()
+    assert [len(x) for x in pair.aligned(*pair.encode(["", ""]))] == [2, 2, 0]
