@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framefold.session import apply_settings
+from framefold.session import apply_settings, split_shuffles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_settings(spark)
+            split_shuffles(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = name

@@ -27,6 +27,21 @@ RUNTIME_SETTINGS = {
 }
 
 
+#: Partitions a shuffle starts with before AQE merges the small ones.
+START_PARTITIONS = 400
+_START = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def split_shuffles(spark: SparkSession) -> None:
+    """Let shuffles start with at least ``START_PARTITIONS``, unless the session names a number of its own.
+
+    AQE merges partitions but divides none of a plain join or aggregate, so with few of them a task's share would
+    grow with the input.
+    """
+    if spark.conf.get(_START, None) is None:
+        spark.conf.set(_START, str(max(START_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+
+
 def apply_settings(spark: SparkSession) -> None:
     """Set the run-time settings the operators rely on in a session made elsewhere."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -38,14 +53,17 @@ def build_session(app: str = "framefold", **extra: str) -> SparkSession:
     """A session with the settings the operators rely on.
 
     Sizing (executors, memory, shuffle partitions) is left to the cluster; the
-    settings below hold at any size. AQE picks post-shuffle partition counts,
+    settings below hold at any size. AQE picks post-shuffle partition counts
+    from at least ``START_PARTITIONS`` (``split_shuffles``),
     splits skewed join partitions and turns a join into a broadcast only from
     measured sizes.
     """
     builder = SparkSession.builder.appName(app)
     for key, value in {**RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    split_shuffles(spark)
+    return spark
 
 
 _OWN_FOLDERS: dict[str, str] = {}

@@ -1,6 +1,7 @@
 """Physical plans: what must be pruned, pre-reduced or shuffled once."""
 
 import os
+import re
 
 import pytest
 
@@ -8,7 +9,10 @@ from framefold.operators import history as H
 from framefold.operators import joins as J
 from framefold.operators.detections import top_labels
 from framefold.operators.ranking import latest, quota_limit
+from framefold.plans import media_queries  # noqa: F401
 from framefold.plans import views as V
+from framefold.plans.registry import QUERIES
+from framefold.session import START_PARTITIONS
 from framefold.sources.executions import land_history
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +57,18 @@ def test_events_of_a_timeline_are_read_and_shuffled_once(spark, tmp_path):
     exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 2  # raw events by segment, then summaries by execution
     assert any("Aggregate" in line for line in lines[exchanges[0] : exchanges[1]])
+
+
+def test_a_session_with_few_partitions_starts_shuffles_with_many(spark):
+    """The rows of one task of a join do not grow with the input at a session's few partitions."""
+    few = spark.newSession()
+    few.conf.set("spark.sql.shuffle.partitions", "4")
+    few.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def partitions():
+        text = plan(QUERIES["join_responses"](few, SF))
+        return {int(n) for n in re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", text)}
+
+    assert partitions() == {START_PARTITIONS}
+    few.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "7")  # the session's own number holds
+    assert partitions() == {7}
