@@ -58,7 +58,7 @@ def reduce_pages(pages: DataFrame, keep: Sequence[str], k: int = 10, texts: bool
     moderation labels follow as JSON texts without the outer brackets, for ``analysis_parts``. Land the result
     where it is used twice: one parse then serves summaries and documents, and a summary reads only its few columns.
     """
-    ranked = F.slice(F.array_sort(F.transform("labels", _placed)), 1, k)
+    ranked = F.slice(F.sort_array(F.transform("labels", _placed)), 1, k)
     best = F.transform(
         ranked, lambda x: F.struct(x["pos"].alias("pos"), x["name"].alias("name"), (-x["down"]).alias("confidence"))
     )
@@ -73,8 +73,9 @@ def reduce_pages(pages: DataFrame, keep: Sequence[str], k: int = 10, texts: bool
 
 
 def _inner_json(column: str) -> Column:
+    """The brackets are cut by bytes: characters would have to be counted from the start."""
     text = F.to_json(column, _KEEP_NULLS)
-    return F.substring(text, F.lit(2), F.length(text) - 2).alias(column)
+    return F.substring(text.cast("binary"), F.lit(2), F.octet_length(text) - 2).cast("string").alias(column)
 
 
 def summarize_reduced(reduced: DataFrame, video: str, page: str, k: int = 10) -> DataFrame:

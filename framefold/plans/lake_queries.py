@@ -304,18 +304,23 @@ def _(spark, sf):
         "duration:double,has_moderation_issues:boolean>"
     ).json(path)
     best = F.transform("summary.top_labels", lambda x: F.concat_ws(" ", x["name"], F.round(x["confidence"]).cast("bigint")))
-    return back.select("*", F.posexplode_outer("labels").alias("at", "label")).select(
+    videos = back.select(
         F.col("video_s3_key").alias("job_id"),
-        (F.col("at") + 1).cast("bigint").alias("place"),
-        "label.name",
-        "label.confidence",
-        "label.timestamp",
-        F.array_size("label.instances").alias("n_instances"),
         "summary.total_labels",
         "summary.duration",
         F.col("summary.has_moderation_issues").alias("flagged"),
         F.array_size("moderation_labels").cast("bigint").alias("moderation"),
         F.array_join(best, ",").alias("top"),
+        "labels",
+    )
+    return videos.select("*", F.posexplode_outer("labels").alias("at", "label")).select(
+        "job_id",
+        (F.col("at") + 1).cast("bigint").alias("place"),
+        "label.name",
+        "label.confidence",
+        "label.timestamp",
+        F.array_size("label.instances").alias("n_instances"),
+        *("total_labels", "duration", "flagged", "moderation", "top"),
     )
 
 

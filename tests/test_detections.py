@@ -146,3 +146,12 @@ def test_top_k_matches_stable_sort(spark):
         assert got[video] == [r[1] for r in mine[:10]]
     distinct = top_k(df, ["video"], "confidence", ["pos"], 10, name="name")
     assert distinct.groupBy("video", "name").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_texts_of_a_page_keep_all_characters(spark):
+    label = '{"Timestamp":1000,"Label":{"Name":"Grüße 🙂","Confidence":1.5,"Instances":[{"é":"中"}]}}'
+    body = f'{{"JobStatus":"SUCCEEDED","Labels":[{label}],"ModerationLabels":["🙂"]}}'
+    raw = spark.createDataFrame([("j", 0, body), ("k", 0, "{}")], "job_id string, page int, body string")
+    rows = {r.job_id: r for r in reduce_pages(parse_responses(raw), ["job_id"], texts=True).collect()}
+    assert rows["j"].labels == '{"name":"Grüße 🙂","confidence":1.5,"timestamp":1.0,"instances":[{"é":"中"}]}'
+    assert rows["j"].moderation_labels == '"🙂"' and rows["k"].labels == rows["k"].moderation_labels == ""

@@ -9,7 +9,7 @@ from framefold.operators import history as H
 from framefold.operators import joins as J
 from framefold.operators.detections import top_labels
 from framefold.operators.ranking import latest, quota_limit
-from framefold.plans import media_queries  # noqa: F401
+from framefold.plans import lake_queries, media_queries  # noqa: F401
 from framefold.plans import views as V
 from framefold.plans.registry import QUERIES
 from framefold.session import START_PARTITIONS
@@ -72,3 +72,9 @@ def test_a_session_with_few_partitions_starts_shuffles_with_many(spark):
     assert partitions() == {START_PARTITIONS}
     few.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "7")  # the session's own number holds
     assert partitions() == {7}
+
+
+def test_columns_of_a_video_are_made_once_not_for_each_label(spark):
+    lines = plan(QUERIES["write_analysis"](spark, SF)).splitlines()
+    explode = next(i for i, line in enumerate(lines) if "posexplode" in line)
+    assert [i > explode for i, line in enumerate(lines) if "array_join" in line] == [True]
