@@ -126,8 +126,14 @@ class Model:
 
 
 def feature_ids(words: list[str], features: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of the words one after the other, and how many each word has (one at least)."""
-    each = [hashed(features(w.lower())) for w in words]
+    """Feature numbers of the words one after the other, and how many each word has (one at least).
+
+    ``features`` may have a method ``ids`` that gives the same for many lower-case words at once.
+    """
+    lowered = [w.lower() for w in words]
+    if hasattr(features, "ids"):
+        return features.ids(lowered)
+    each = [hashed(features(w)) for w in lowered]
     sizes = np.fromiter(map(len, each), np.int64, len(each))
     return np.fromiter((i for ids in each for i in ids), np.int64, int(sizes.sum())), sizes
 

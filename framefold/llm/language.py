@@ -8,6 +8,7 @@ change the language within a text.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framefold.llm.common import documents, id_remainder, land, query
-from framefold.llm.crf import WORD, Decoder, Model, train
+from framefold.llm.crf import BUCKETS, WORD, Decoder, Model, hashed, train
 from framefold.llm.words import pieces
 
 #: Documents of each language that are learned from at most.
@@ -32,19 +33,103 @@ SEQUENCE = 3
 UNKNOWN = "und"
 #: Share of a document's words that its language must have for the document to stay.
 LEAST_SHARE = 0.5
+#: Lengths of affixes and n-grams.
+GRAMS = (1, 2, 3)
+#: Bits of a code point.
+LETTER_BITS = 21
+#: Letters of the words whose features are made together; those of a longer word are made by themselves.
+LETTERS_TOGETHER = 1 << 18
 
 _DECODERS: dict[str, Decoder] = {}
 
 
-def features(word: str) -> list[str]:
+class WordFeatures:
     """Lexicon, affixes of 1 to 3 letters and n-grams of 1 to 3 letters."""
-    parts = ["bias", "w" + word]
-    for n in (1, 2, 3):
-        if len(word) > n:
-            parts += [f"p{word[:n]}", f"s{word[-n:]}"]
-    for n in (1, 2, 3):
-        parts += dict.fromkeys(f"n{word[i : i + n]}" for i in range(len(word) - n + 1))
-    return parts
+
+    def __call__(self, word: str) -> list[str]:
+        parts = ["bias", "w" + word]
+        for n in GRAMS:
+            if len(word) > n:
+                parts += [f"p{word[:n]}", f"s{word[-n:]}"]
+        for n in GRAMS:
+            parts += dict.fromkeys(f"n{word[i : i + n]}" for i in range(len(word) - n + 1))
+        return parts
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The features of many lower-case words as numbers, in the order above, and how many each word has."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        total = np.concatenate(([0], np.cumsum(lengths)))
+        parts = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        at = 0
+        while at < len(words):
+            end = max(at + 1, int(np.searchsorted(total, total[at] + LETTERS_TOGETHER, "right")) - 1)
+            if lengths[at] > LETTERS_TOGETHER:
+                alone = np.array(hashed(self(words[at])), np.int64)
+                parts.append((alone, np.array([len(alone)])))
+            else:
+                parts.append(_ids(words[at:end], lengths[at:end]))
+            at = end
+        return tuple(map(np.concatenate, zip(*parts)))
+
+
+features = WordFeatures()
+
+
+def _ids(words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``WordFeatures.ids`` by arrays over all letters; each different n-gram is hashed once."""
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+    word_of = np.repeat(np.arange(len(words)), lengths)
+    left = ends[word_of] - np.arange(len(letters))
+
+    # An n-gram is one number of 21 bits a letter; words hold no letter 0.
+    code = np.zeros(len(letters), np.int64)
+    following = np.concatenate((letters, np.zeros(max(GRAMS), np.int64)))
+    places, codes = [], []
+    for n in GRAMS:
+        code = code | following[n - 1 : n - 1 + len(letters)] << LETTER_BITS * (n - 1)
+        places.append(np.flatnonzero(left >= n))
+        codes.append(code[places[-1]])
+    grams, different = _numbered(np.concatenate(codes))
+    split = [different >> LETTER_BITS * (n - 1) & (1 << LETTER_BITS) - 1 for n in GRAMS]
+    texts = np.stack(split, axis=1).astype(np.uint32).view(f"U{max(GRAMS)}").ravel().tolist()
+    encoded = [text.encode() for text in texts]
+
+    def hashes(kind: bytes, items: list[bytes]) -> np.ndarray:
+        before = zlib.crc32(kind)
+        return np.fromiter((zlib.crc32(item, before) % BUCKETS for item in items), np.int64, len(items))
+
+    of = word_of[np.concatenate(places)]
+    repeats, _ = _numbered(of * max(1, len(different)) + grams)
+    new = np.diff(np.maximum.accumulate(repeats), prepend=-1) > 0
+    affixes = 2 * np.clip(lengths - 1, 0, max(GRAMS))
+    sizes = 2 + affixes + np.bincount(of[new], minlength=len(words))
+    start = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.int64)
+    rest = np.ones(len(out), bool)
+
+    def put(at: np.ndarray, ids: np.ndarray) -> None:
+        out[at] = ids
+        rest[at] = False
+
+    put(start, hashes(b"bias", [b""]))
+    put(start + 1, hashes(b"w", [word.encode() for word in words]))
+    prefixes, suffixes = hashes(b"p", encoded), hashes(b"s", encoded)
+    before = 0
+    for n, place in zip(GRAMS, places):
+        longer = np.flatnonzero(lengths > n)
+        put(start[longer] + 2 * n, prefixes[grams[before + np.searchsorted(place, begins[longer])]])
+        put(start[longer] + 2 * n + 1, suffixes[grams[before + np.searchsorted(place, ends[longer] - n)]])
+        before += len(place)
+    out[rest] = hashes(b"n", encoded)[grams[new][np.argsort(of[new], kind="stable")]]
+    return out, sizes
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each value, in the order in which values first occur, and the different values."""
+    flat = pa.array(values).dictionary_encode()
+    return flat.indices.to_numpy(), flat.dictionary.to_numpy()
 
 
 def training_rows(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str]]:

@@ -175,3 +175,33 @@ def test_every_language_is_learned_and_repeated_ids_count_once(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(700)], "doc_id bigint, toxic int")
     texts_of_2 = [t for t, _ in toxicity.training_rows(odd(spark, rows), labels) if t.startswith("text 2 ") or t == "text 2"]
     assert len(texts_of_2) <= 1
+
+
+def test_language_features_of_many_words_are_those_of_each_word(monkeypatch):
+    from framefold.llm import crf
+
+    rng = random.Random(4)
+    letters = "abcdeABCDEßéИσΣİ語語𐐀𠀀ａ"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    words += ["aaaaaaaa", "abababab", "ΑΣ", "x", "語", "", "b" * 300, "".join(rng.choice(letters) for _ in range(120))]
+    plain = crf.feature_ids(words, lambda w: language.features(w))
+    for together in (1 << 18, 40, 7, 1):
+        monkeypatch.setattr(language, "LETTERS_TOGETHER", together)
+        for some in (words, words[::-1]):
+            want = plain if some is words else crf.feature_ids(some, lambda w: language.features(w))
+            got = crf.feature_ids(some, language.features)
+            assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+    assert [len(x) for x in crf.feature_ids([], language.features)] == [0, 0]
+    assert crf.feature_ids(["", ""], language.features)[1].tolist() == [2, 2]
+
+
+def test_equal_letter_groups_of_many_words_are_hashed_once(monkeypatch):
+    from framefold.llm import crf
+
+    rng = random.Random(6)
+    words = list(dict.fromkeys("".join(rng.choice("aeinrst") for _ in range(9)) for _ in range(4000)))
+    calls = []
+    crc32 = crf.zlib.crc32
+    monkeypatch.setattr(crf.zlib, "crc32", lambda *given: calls.append(1) or crc32(*given))
+    ids, _ = crf.feature_ids(words, language.features)
+    assert len(calls) < 2 * len(words) < len(ids) / 5
