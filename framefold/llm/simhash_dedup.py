@@ -186,7 +186,8 @@ def links(classes: DataFrame, distance: int = DISTANCE, direct_homes: int = DIRE
     whatever is connected by steps of at most ``distance`` (0, 1 or 2) bits; every link is true.
 
     Anchors with up to ``direct_homes`` homes compare them with all visitors. At a fuller anchor homes
-    and visitors are linked over the points around them, in groups of at most 65.
+    and visitors are linked over the points around them, in groups of at most 65. Spark takes the visits,
+    some 60 rows a fingerprint, for as few as the fingerprints, so their join is hinted: they are never broadcast.
     """
     if distance not in (0, 1, 2):
         raise ValueError("distance must be 0, 1 or 2")
@@ -195,7 +196,7 @@ def links(classes: DataFrame, distance: int = DISTANCE, direct_homes: int = DIRE
     full = land(homes.groupBy("anchor").count().where(F.col("count") > direct_homes).select("anchor"), "full")
     some = homes.join(full, "anchor", "left_anti").select("anchor", F.col("fp").alias("a"))
     direct = (
-        some.join(rows.select("anchor", F.col("fp").alias("b")), "anchor")
+        some.hint("merge").join(rows.select("anchor", F.col("fp").alias("b")).hint("merge"), "anchor")
         .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
         .select("a", "b")
     )

@@ -81,6 +81,16 @@ def test_links_connect_what_all_pairs_connect(spark, distance, direct):
     assert {p: union.find(p) for p in signed} == {p: mine.find(p) for p in signed}
 
 
+def test_visits_are_not_broadcast_however_small_spark_takes_them(spark, tmp_path):
+    """Spark takes them for as many as the fingerprints, of which there are some 60 times fewer."""
+    spark.range(2000).selectExpr("xxhash64(id) AS fp").write.parquet(str(tmp_path / "classes"))
+    lines = links(spark.read.parquet(str(tmp_path / "classes")))._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(lines)}
+    visits = [i for i in depth if "MapInArrow" in lines[i]]
+    above = {lines[j].lstrip(" :+-").split()[0] for i in visits for j in range(i) if all(depth[k] > depth[j] for k in range(j + 1, i + 1))}
+    assert visits and "SortMergeJoin" in above and "BroadcastExchange" not in above
+
+
 def test_odd_documents(spark):
     rows = [(r.doc_id, r.component_id) for r in group_documents(odd(spark)).collect()]
     assert sorted(rows, key=str) == sorted(
