@@ -164,9 +164,9 @@ def analysis_parts(
     """The texts that make up one JSON document per video, one after the other: ``video, section, text``.
 
     A document holds the video's key under ``name``, duration, all labels and moderation labels in response order,
-    and the summary. ``reduced`` are pages of ``reduce_pages`` with texts. Each page gives two texts, and the frame
-    three; they are shuffled to the video's partition and sorted there, on disk where they are many. So no document
-    is ever held as a whole, whatever the number of its labels. ``write_analysis`` writes them.
+    and the summary. ``reduced`` are pages of ``reduce_pages`` with texts. Each page is shuffled once to the video's
+    partition, where it gives two texts, and the frame three; they are sorted there, on disk where they are many. So no
+    document is ever held as a whole, whatever the number of its labels. ``write_analysis`` writes them.
     """
     key = F.to_json(F.struct(F.col(video).alias(name), "duration"), _KEEP_NULLS)
     summary = F.struct("total_labels", "top_labels", "duration", "has_moderation_issues")
@@ -182,15 +182,19 @@ def analysis_parts(
         F.lit(None).cast(page_type).alias(page),
         F.inline(F.array(text(0, head), text(2, F.lit('],"moderation_labels":[')), text(4, tail))),
     )
-    body = reduced.select(
-        video, page, F.inline(F.array(text(1, F.col("labels")), text(3, F.col("moderation_labels"))))
-    ).where("text <> ''")
-    nth = F.row_number().over(Window.partitionBy(video, "section").orderBy(page))
-    follows = (F.col("section") % 2 == 1) & (F.col("_nth") > 1)
+    # Both sides are spread by video already, so the union needs no shuffle of its own.
+    body = (
+        reduced.select(video, page, "labels", "moderation_labels")
+        .where("labels <> '' OR moderation_labels <> ''")
+        .repartition(video)
+        .select(video, page, F.inline(F.array(text(1, F.col("labels")), text(3, F.col("moderation_labels")))))
+        .where("text <> ''")
+    )
+    before = F.lag("section").over(Window.partitionBy(video).orderBy("section", page))
+    follows = (F.col("section") % 2 == 1) & (F.col("section") == F.col("_before"))
     return (
         frame.unionByName(body)
-        .repartition(video)
-        .withColumn("_nth", nth)
+        .withColumn("_before", before)
         .sortWithinPartitions(video, "section", page)
         .select(video, "section", F.when(follows, F.concat(F.lit(","), "text")).otherwise(F.col("text")).alias("text"))
     )

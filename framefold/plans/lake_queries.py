@@ -296,7 +296,8 @@ def _(spark, sf):
     path = f"{root}/documents"
     ok, _ = gate_succeeded(parse_responses(V.response_pages(spark, sf)))
     reduced = land_pages(reduce_pages(ok, ["job_id", "page"], texts=True), f"{root}/pages")
-    write_analysis(analysis_parts(reduced, summarize_reduced(reduced, "job_id", "page"), "job_id", "page"), path)
+    parts = analysis_parts(reduced, summarize_reduced(reduced, "job_id", "page"), "job_id", "page")
+    write_analysis(parts, path, compression="gzip")
     back = spark.read.schema(
         "video_s3_key bigint, duration double, moderation_labels array<struct<Name:string>>, "
         "labels array<struct<name:string,confidence:double,timestamp:double,instances:array<struct<Top:int>>>>, "

@@ -18,13 +18,14 @@ def write_assets(assets: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def write_analysis(parts: DataFrame, path: str, mode: str = "append") -> None:
+def write_analysis(parts: DataFrame, path: str, mode: str = "append", compression: str = "none") -> None:
     """One JSON document per video and line, from its texts in order (``analysis_parts``).
 
     The texts are written as they come, set apart by a blank, which JSON allows between its tokens; the last text of a
-    document ends its line. No document is put together in memory. NULL fields are written.
+    document ends its line. No document is put together in memory. NULL fields are written. ``compression`` is
+    a codec of Spark's text files; Spark reads them alike.
     """
-    parts.select("text").write.mode(mode).option("lineSep", " ").text(path)
+    parts.select("text").write.mode(mode).option("lineSep", " ").option("compression", compression).text(path)
 
 
 def notifications(df: DataFrame, prefix: str = SUBJECT_PREFIX) -> DataFrame:

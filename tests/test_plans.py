@@ -7,12 +7,13 @@ import pytest
 
 from framefold.operators import history as H
 from framefold.operators import joins as J
-from framefold.operators.detections import top_labels
+from framefold.operators.detections import analysis_parts, reduce_pages, summarize_reduced, top_labels
 from framefold.operators.ranking import latest, quota_limit
 from framefold.plans import lake_queries, media_queries  # noqa: F401
 from framefold.plans import views as V
 from framefold.plans.registry import QUERIES
 from framefold.session import START_PARTITIONS
+from framefold.sources.detections import land_pages, parse_responses
 from framefold.sources.executions import land_history
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +79,16 @@ def test_columns_of_a_video_are_made_once_not_for_each_label(spark):
     lines = plan(QUERIES["write_analysis"](spark, SF)).splitlines()
     explode = next(i for i, line in enumerate(lines) if "posexplode" in line)
     assert [i > explode for i, line in enumerate(lines) if "array_join" in line] == [True]
+
+
+def test_a_page_is_shuffled_once_for_its_document_and_written_packed(spark, tmp_path):
+    """Only pages and summaries are shuffled, not the texts made of them; documents are compressed."""
+    pages = reduce_pages(parse_responses(V.response_pages(spark, SF)), ["job_id", "page"], texts=True)
+    reduced = land_pages(pages, str(tmp_path / "pages"))
+    lines = plan(analysis_parts(reduced, summarize_reduced(reduced, "job_id", "page"), "job_id", "page")).splitlines()
+    union = next(i for i, line in enumerate(lines) if "Union" in line)
+    explode = next(i for i, line in enumerate(lines) if "Generate inline" in line and "moderation_labels" in line)
+    spread = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
+    assert not any("Exchange" in line for line in lines[:union]) and len(spread) == 1 and spread[0] > explode
+    documents = QUERIES["write_analysis"](spark, SF).inputFiles()
+    assert documents and all(f.endswith(".txt.gz") for f in documents)
