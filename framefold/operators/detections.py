@@ -164,8 +164,8 @@ def analysis_parts(
     """The texts that make up one JSON document per video, one after the other: ``video, section, text``.
 
     A document holds the video's key under ``name``, duration, all labels and moderation labels in response order,
-    and the summary. ``reduced`` are pages of ``reduce_pages`` with texts. Each page is shuffled once to the video's
-    partition, where it gives two texts, and the frame three; they are sorted there, on disk where they are many. So no
+    and the summary. ``reduced`` are pages of ``reduce_pages`` with texts. Pages and summaries are shuffled once to the
+    video's partition, where a page gives two texts, and the frame three; they are sorted there, on disk where they are many. So no
     document is ever held as a whole, whatever the number of its labels. ``write_analysis`` writes them.
     """
     key = F.to_json(F.struct(F.col(video).alias(name), "duration"), _KEEP_NULLS)
@@ -177,12 +177,12 @@ def analysis_parts(
     head = F.concat(F.substring(key, F.lit(1), F.length(key) - 1), F.lit(',"labels":['))
     tail = F.concat(F.lit('],"summary":'), F.to_json(summary, _KEEP_NULLS), F.lit("}\n"))
     page_type = reduced.schema[page].dataType
-    frame = summaries.select(
+    # Both sides are spread alike, so their union needs no shuffle of its own.
+    frame = summaries.repartition(video).select(
         video,
         F.lit(None).cast(page_type).alias(page),
         F.inline(F.array(text(0, head), text(2, F.lit('],"moderation_labels":[')), text(4, tail))),
     )
-    # Both sides are spread by video already, so the union needs no shuffle of its own.
     body = (
         reduced.select(video, page, "labels", "moderation_labels")
         .where("labels <> '' OR moderation_labels <> ''")

@@ -18,7 +18,7 @@ from framefold.operators.sets import campaign_catalogue
 from framefold.plans import views as V
 from framefold.plans.batch import run_batch
 from framefold.plans.registry import query
-from framefold.session import scratch_dir
+from framefold.session import scratch_dir, shuffles_freed
 from framefold.sources import executions as E
 from framefold.sources import index_table as I
 from framefold.sources.detections import gate_flags, gate_succeeded, land_pages, parse_responses, parse_status
@@ -296,8 +296,9 @@ def _(spark, sf):
     path = f"{root}/documents"
     ok, _ = gate_succeeded(parse_responses(V.response_pages(spark, sf)))
     reduced = land_pages(reduce_pages(ok, ["job_id", "page"], texts=True), f"{root}/pages")
-    parts = analysis_parts(reduced, summarize_reduced(reduced, "job_id", "page"), "job_id", "page")
-    write_analysis(parts, path, compression="gzip")
+    with shuffles_freed(spark):  # those of the summaries before the documents have theirs
+        summaries = land_pages(summarize_reduced(reduced, "job_id", "page"), f"{root}/summaries")
+        write_analysis(analysis_parts(reduced, summaries, "job_id", "page"), path, compression="gzip")
     back = spark.read.schema(
         "video_s3_key bigint, duration double, moderation_labels array<struct<Name:string>>, "
         "labels array<struct<name:string,confidence:double,timestamp:double,instances:array<struct<Top:int>>>>, "

@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,18 @@ def split_shuffles(spark: SparkSession) -> None:
         spark.conf.set(_START, str(max(START_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside frees the disk of its shuffles when it ends, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def apply_settings(spark: SparkSession) -> None:
     """Set the run-time settings the operators rely on in a session made elsewhere."""
     for key, value in RUNTIME_SETTINGS.items():

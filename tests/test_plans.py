@@ -12,7 +12,7 @@ from framefold.operators.ranking import latest, quota_limit
 from framefold.plans import lake_queries, media_queries  # noqa: F401
 from framefold.plans import views as V
 from framefold.plans.registry import QUERIES
-from framefold.session import START_PARTITIONS
+from framefold.session import START_PARTITIONS, shuffles_freed
 from framefold.sources.detections import land_pages, parse_responses
 from framefold.sources.executions import land_history
 
@@ -85,10 +85,28 @@ def test_a_page_is_shuffled_once_for_its_document_and_written_packed(spark, tmp_
     """Only pages and summaries are shuffled, not the texts made of them; documents are compressed."""
     pages = reduce_pages(parse_responses(V.response_pages(spark, SF)), ["job_id", "page"], texts=True)
     reduced = land_pages(pages, str(tmp_path / "pages"))
-    lines = plan(analysis_parts(reduced, summarize_reduced(reduced, "job_id", "page"), "job_id", "page")).splitlines()
-    union = next(i for i, line in enumerate(lines) if "Union" in line)
-    explode = next(i for i, line in enumerate(lines) if "Generate inline" in line and "moderation_labels" in line)
-    spread = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
-    assert not any("Exchange" in line for line in lines[:union]) and len(spread) == 1 and spread[0] > explode
+    made = summarize_reduced(reduced, "job_id", "page")
+    landed = land_pages(made, str(tmp_path / "summaries"))
+    for summaries, shuffles in ((made, 1), (landed, 2)):  # made summaries are spread by their video already
+        lines = plan(analysis_parts(reduced, summaries, "job_id", "page")).splitlines()
+        union = next(i for i, line in enumerate(lines) if "Union" in line)
+        explode = next(i for i, line in enumerate(lines) if "Generate inline" in line and "moderation_labels" in line)
+        spread = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
+        assert not any("Exchange" in line for line in lines[:union]) and len(spread) == shuffles and spread[-1] > explode
     documents = QUERIES["write_analysis"](spark, SF).inputFiles()
     assert documents and all(f.endswith(".txt.gz") for f in documents)
+
+
+def test_shuffles_of_what_is_written_are_freed(spark, tmp_path):
+    """Their files go when the write ends; the session's setting is as before."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in map(str, folder.getAllFiles().mkString(",").split(",")) if "shuffle_" in f and f.endswith(".data")}
+
+    old = files()
+    with shuffles_freed(spark):
+        spark.range(1000).repartition("id").write.parquet(str(tmp_path / "a"))
+    assert files() <= old and spark.conf.get(key) == before
