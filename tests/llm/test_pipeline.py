@@ -4,7 +4,7 @@ from collections import Counter
 import corpus_pipeline
 from pyspark.sql import functions as F
 from framefold.llm.common import QUERIES
-from framefold.llm import queries
+from framefold.llm import queries, simhash_dedup
 from tests.llm.data import odd
 
 SMALL = "/root/testdata/sf0.001"
@@ -68,3 +68,17 @@ def test_stages_keep_columns_of_clashing_names(spark):
         docs = corpus_pipeline.land(stage(spark, docs, SMALL), name)
         assert docs.columns[5:] == names
     assert all(r[n] == n for r in docs.collect() for n in names)
+
+
+def test_near_dedup_stage_does_not_broadcast_visits(spark, monkeypatch):
+    """They are some 60 times as many rows as Spark takes them for."""
+    plans, connect = [], simhash_dedup.connected_components
+
+    def seen(edges):
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return connect(edges)
+
+    monkeypatch.setattr(simhash_dedup, "connected_components", seen)
+    corpus_pipeline.drop_near_duplicates(spark, odd(spark), "")
+    joins = re.findall(r"(\w+Join) \[anchor#\d+\], \[anchor#\d+\], Inner", plans[0])
+    assert joins and set(joins) == {"SortMergeJoin"}
